@@ -7,6 +7,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Letters and marks that have no base letter of their own.
 ASCII_FORMS = {
@@ -44,6 +45,6 @@ def to_ascii(text: str) -> str:
     return unicodedata.normalize("NFKD", replaced).encode("ascii", "ignore").decode("ascii")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def repair_encoding(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: to_ascii(repair(t)), na_action="ignore")

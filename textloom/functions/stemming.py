@@ -9,6 +9,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The published suffix tables of steps 2, 3 and 4.
 STEP2 = (
@@ -90,6 +91,6 @@ def stem_word(word: str) -> str:
     return word
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def porter_stem(words: pd.Series) -> pd.Series:
     return words.map(stem_word, na_action="ignore")

@@ -21,7 +21,7 @@ LYRIC_LETTERS = {
     "í": "i", "é": "e", "ï": "i", "ó": "o", ";": ",", "\u2018": "'", "\u2019": "'", ":": ",", "\u0435": "e",
 }
 LYRIC_SPACES = ["\u2005", "\u200b", "\u205f", "\xa0", "-"]
-LYRIC_REMOVALS = [r"\)", r"\(", "–", '"', "”", r"\[[^\n]*\]", r"[^\n]*\|[^\n]*", "—"]
+LYRIC_REMOVALS = [r"\)", r"\(", "–", '"', "”", r"\[[^\n]*\]", r"(?md)^[^\n]*\|[^\n]*", "—"]
 
 # Review mark-up, applied in this order.
 MARKUP = [

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textloom.functions.arrays import let
+
 
 def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x.cast("double"))
@@ -24,22 +26,27 @@ def cosine(a: Column, b: Column) -> Column:
 
 def scale_unit(values: Column) -> Column:
     """Min-max scaling to [0, 1]; a constant array becomes zeros."""
-    low, high = F.array_min(values), F.array_max(values)
-    return F.transform(values, lambda x: F.coalesce(F.try_divide((x - low).cast("double"), (high - low).cast("double")), F.lit(0.0)))
+
+    def scale(bounds):
+        width = bounds["high"] - bounds["low"]
+        unit = lambda x: F.coalesce(F.try_divide(x.cast("double") - bounds["low"], width), F.lit(0.0))
+        return F.transform(bounds["x"], unit)
+
+    low, high = F.array_min(values).cast("double"), F.array_max(values).cast("double")
+    return let(F.struct(values.alias("x"), low.alias("low"), high.alias("high")), scale)
 
 
 def softmax(logits: Column, temperature: float = 1.0) -> Column:
     """Probabilities of one row's logits."""
-    values = F.transform(logits, lambda x: x.cast("double") / temperature)
-    # let-binding: the shifted exponentials are built once and then divided
-    peak = F.array_max(values)
-    exps = F.transform(values, lambda x: F.exp(x - peak))
-    pair = F.array(exps)
-    return F.flatten(F.transform(pair, lambda e: _divide_all(e)))
 
+    def exponentials(x):
+        return let(F.array_max(x), lambda peak: F.transform(x, lambda v: F.exp(v - peak)))
+
+    def divide(e):
+        return let(total(e), lambda s: F.transform(e, lambda v: v / s))
 
-def _divide_all(exps: Column) -> Column:
-    return F.transform(F.arrays_zip(exps.alias("e"), F.array_repeat(total(exps), F.size(exps)).alias("s")), lambda z: z["e"] / z["s"])
+    scaled = F.transform(logits, lambda x: x.cast("double") / temperature)
+    return let(let(scaled, exponentials), divide)
 
 
 def ranked(values: Column) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,20 +23,21 @@ def outer_with_blanks(
     return joined.withColumns({c: F.coalesce(c, F.lit(fill)) for c in blanks})
 
 
-def vectors_with_default(vocabulary: DataFrame, vectors: DataFrame, dims: int, noise_seed: int | None = None) -> DataFrame:
+def vectors_with_default(vocabulary: DataFrame, vectors: DataFrame, noise_seed: int | None = None) -> DataFrame:
     """Vector of each word; an unknown word gets the mean vector.
 
     With `noise_seed`, unknown words get mean + deviation * a hash-drawn
     number instead, so that equal words still get equal vectors.
     """
-    mean = F.array(*[F.avg(F.col("vec")[i].cast("double")) for i in range(dims)])
-    deviation = F.array(*[F.stddev(F.col("vec")[i].cast("double")) for i in range(dims)])
-    stats = vectors.agg(mean.alias("mean"), deviation.alias("dev")).first()
+    summary = Summarizer.metrics("mean", "std").summary(array_to_vector("vec")).alias("s")
+    stats = vectors.select(summary).select(
+        vector_to_array("s.mean").alias("mean"), vector_to_array("s.std").alias("dev")
+    ).first()
     joined = vocabulary.join(vectors, "word", "left")
     default = F.lit(list(stats["mean"]))
     if noise_seed is not None:
         places = F.transform(
-            F.sequence(F.lit(0), F.lit(dims - 1)),
+            F.sequence(F.lit(0), F.lit(len(stats["mean"]) - 1)),
             lambda i: _normal(F.concat(F.col("word"), F.lit("/"), i.cast("string")), noise_seed),
         )
         spread = F.zip_with(F.lit(list(stats["dev"])), places, lambda s, z: s * z)
@@ -50,6 +53,23 @@ def _normal(key: Column, seed: int) -> Column:
     return F.sqrt(-2 * F.log(u)) * F.cos(v * (2 * 3.141592653589793))
 
 
+def attach_spans(docs: DataFrame, spans: DataFrame, key: str, keep: Sequence[str]) -> DataFrame:
+    """Span rows with their own words, from `docs(key, words)` and `spans(key, k, class, start_word, end_word)`.
+
+    The spans of one text travel as one array, so the text is joined once and
+    not copied for every span.
+    """
+    bundled = spans.groupBy(key).agg(F.collect_list(F.struct("k", "class", "start_word", "end_word")).alias("spans"))
+
+    def cut(s):
+        size = (s["end_word"] - s["start_word"] + 1).cast("int")
+        text = F.array_join(F.slice(F.col("words"), (s["start_word"] + 1).cast("int"), size), " ")
+        return F.struct(s["k"].alias("k"), s["class"].alias("class"), text.alias("discourse_text"))
+
+    joined = docs.join(bundled, key)
+    return joined.select(key, *keep, F.explode(F.transform("spans", cut)).alias("s")).select(key, *keep, "s.*")
+
+
 def contained(points: DataFrame, spans: DataFrame, key: str, bucket: int = RANGE_BUCKET) -> DataFrame:
     """Rows of `points(key, tok_start, tok_end)` inside `spans(key, span_start, span_end)`.
 

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.functions.arrays import let
 from textloom.operators.joins import contained
 
 IGNORE, NO_WORD = -100, -1
@@ -107,15 +108,19 @@ def align_labels(word_ids: Column, labels: Column, all_pieces: bool = False) ->
     A null or -1 word id (a special token) gets -100; so do later pieces of a
     word unless `all_pieces`.
     """
-    before = F.concat(F.array(F.lit(NO_WORD)), F.slice(word_ids, 1, F.greatest(F.size(word_ids) - 1, F.lit(0))))
-    pairs = F.arrays_zip(word_ids.alias("now"), before.alias("before"))
 
-    def label(p):
-        special = p["now"].isNull() | (p["now"] == NO_WORD)
-        repeated = F.lit(False) if all_pieces else p["now"].eqNullSafe(p["before"])
-        return F.when(special | repeated, F.lit(IGNORE)).otherwise(F.get(labels, p["now"]))
+    def align(both):
+        ids, names = both["ids"], both["labels"]
+        before = F.concat(F.array(F.lit(NO_WORD)), F.slice(ids, 1, F.greatest(F.size(ids) - 1, F.lit(0))))
 
-    return F.transform(pairs, label)
+        def label(now, previous):
+            special = now.isNull() | (now == NO_WORD)
+            repeated = F.lit(False) if all_pieces else now.eqNullSafe(previous)
+            return F.when(special | repeated, F.lit(IGNORE)).otherwise(F.get(names, now))
+
+        return F.zip_with(ids, before, label)
+
+    return let(F.struct(word_ids.alias("ids"), labels.alias("labels")), align)
 
 
 def char_span_targets(tokens: DataFrame, spans: DataFrame, key: str, classes: Sequence[str]) -> DataFrame:

@@ -151,3 +151,14 @@ def shuffled_rank(
         value=F.lit(1).cast("bigint"),
         out=out,
     ).drop("__hash")
+
+
+def fill_gaps(df: DataFrame, group: Sequence[str], order: str, value: str) -> DataFrame:
+    """Fill nulls from the row before, and leading nulls from the row after, in each group.
+
+    Sorting within the group spills to disk; nothing is collected.
+    """
+    w = Window.partitionBy(*group).orderBy(order)
+    forward = F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    backward = F.first(value, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    return df.withColumn(value, F.coalesce(forward, backward))

@@ -12,8 +12,8 @@ INLINE_LIST_LIMIT = 10_000
 
 
 def word_rows(df: DataFrame, key: str, words: Column, pos: str = "pos", word: str = "word") -> DataFrame:
-    """One row per word with its position."""
-    return df.select(key, F.posexplode(words).alias(pos, word))
+    """One row per word with its position; a text without words keeps one empty row."""
+    return df.select(key, F.posexplode_outer(words).alias(pos, word))
 
 
 def gather_words(rows: DataFrame, key: str, value: str, out: str, pos: str = "pos") -> DataFrame:
@@ -41,7 +41,11 @@ def remove_stop_words(
 
 
 def replace_words(df: DataFrame, key: str, words: Column, mapping: DataFrame, out: str) -> DataFrame:
-    """Replace each word by `mapping(word, replacement)`, keeping unknown words."""
+    """Replace each word by `mapping(word, replacement)`, keeping unknown words.
+
+    The texts are partitioned by key once; with a broadcast mapping the words
+    are gathered again without another shuffle.
+    """
     rows = word_rows(df.repartition(key), key, words)
     mapped = rows.join(mapping, "word", "left").withColumn("word", F.coalesce("replacement", "word"))
     return gather_words(mapped, key, "word", out)
@@ -113,3 +117,28 @@ def subject_verb_object(dependencies: DataFrame) -> DataFrame:
             ).alias("action"),
         )
     )
+
+
+def lexicon_scores(bags: DataFrame, lexicon: DataFrame, key: str) -> DataFrame:
+    """Sentiment shares and compound score of each text from `bags(key, word, tf)`.
+
+    compound = s / sqrt(s^2 + 15) over the summed word scores; labels cut at 0.05.
+    """
+    joined = bags.join(lexicon, "word", "left")
+    score, tf = F.coalesce("score", F.lit(0)), F.col("tf")
+    sums = joined.groupBy(key).agg(
+        F.sum(score * tf).cast("double").alias("s"),
+        F.sum(F.when(score > 0, tf).otherwise(0)).alias("p"),
+        F.sum(F.when(score < 0, tf).otherwise(0)).alias("m"),
+        F.sum(tf).alias("n"),
+    )
+    compound = F.col("s") / F.sqrt(F.col("s") * F.col("s") + 15)
+    label = F.when(compound >= 0.05, "Positive").when(compound <= -0.05, "Negative").otherwise("Neutral")
+    return sums.select(
+        key,
+        (F.col("p") / F.col("n")).alias("pos"),
+        (F.col("m") / F.col("n")).alias("neg"),
+        (1 - F.col("p") / F.col("n") - F.col("m") / F.col("n")).alias("neu"),
+        compound.alias("compound"),
+        label.alias("label"),
+    )

@@ -58,7 +58,7 @@ def drop_placeholders(t):
     "f5_recode",
     """
     SELECT doc_id, CASE WHEN 2 * quality - 1 = -1 THEN 0 ELSE 2 * quality - 1 END AS review_score,
-           CASE WHEN stars BETWEEN 1 AND 5 THEN stars - 1 END::INTEGER AS star_class
+           CASE WHEN stars BETWEEN 1 AND 5 THEN (stars - 1)::VARCHAR END AS star_class
     FROM (SELECT doc_id, quality, 1 + doc_id % 6 AS stars FROM labels)
     """,
 )
@@ -67,7 +67,7 @@ def recode(t):
     return t.labels.select(
         "doc_id",
         tables.recode(score, {-1: 0}, other=score).alias("review_score"),
-        tables.recode(stars, {1: 0, 2: 1, 3: 2, 4: 3, 5: 4}).alias("star_class"),
+        tables.recode(stars, {1: 0, 2: 1, 3: 2, 4: 3, 5: 4}).cast("string").alias("star_class"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from textloom.functions.text import words
 from textloom.operators import joins
 from textloom.operators.prompts import preference_pairs, turn_pairs
 from textloom.plans import fixtures as fx
@@ -53,7 +54,7 @@ def label_lookup(t):
     """,
 )
 def word_vectors_default(t):
-    found = joins.vectors_with_default(fx.vocabulary(t).select("word"), fx.word_vectors(t), fx.DIMS)
+    found = joins.vectors_with_default(fx.vocabulary(t).select("word"), fx.word_vectors(t))
     return found.select("word", "known", r(F.col("vec")[0]).alias("v1"), r(F.col("vec")[63]).alias("v64"))
 
 
@@ -79,12 +80,8 @@ def semi_anti(t):
     """,
 )
 def document_spans(t):
-    from textloom.functions.text import words
-
     docs = t.documents.select("doc_id", "lang", words(F.col("text")).alias("words"))
-    joined = fx.gold_spans(t).join(docs, "doc_id")
-    span = F.slice("words", (F.col("start_word") + 1).cast("int"), (F.col("end_word") - F.col("start_word") + 1).cast("int"))
-    return joined.select("doc_id", "lang", "k", "class", F.array_join(span, " ").alias("discourse_text"))
+    return joins.attach_spans(docs, fx.gold_spans(t), "doc_id", ["lang"]).select("doc_id", "lang", "k", "class", "discourse_text")
 
 
 @query(
@@ -134,10 +131,10 @@ def preference_join(t):
 
 @query(
     "j11_fold_ensemble",
-    """
+    f"""
     WITH f AS (SELECT vec_id, fold, embedding[fold + 1]::DOUBLE * 10 AS cohesion, embedding[fold + 11]::DOUBLE * 10 AS syntax
                FROM embeddings, (SELECT unnest([0, 1, 2, 3, 4]) AS fold))
-    SELECT vec_id, round(sum(cohesion / 5), 1) AS cohesion, round(sum(syntax / 5), 1) AS syntax FROM f GROUP BY vec_id
+    SELECT vec_id, {q.r('sum(cohesion / 5)', 1)} AS cohesion, {q.r('sum(syntax / 5)', 1)} AS syntax FROM f GROUP BY vec_id
     """,
 )
 def fold_ensemble(t):

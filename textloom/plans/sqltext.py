@@ -28,6 +28,11 @@ def csv(x: str) -> str:
     return f"array_to_string({x}, ',')"
 
 
+def r(x: str, digits: int = 6) -> str:
+    """Rounded, with negative zero made plain zero."""
+    return f"(round({x}, {digits}) + 0.0::DOUBLE)"
+
+
 # One row per (user turn, assistant turn) pair of a conversation.
 PAIRS = """
 pairs AS (

@@ -147,20 +147,13 @@ def ngram_overlap(df: DataFrame, key: str, predicted: Column, reference: Column,
     per text then happens inside those partitions.
     """
     texts = df.select(key, predicted.alias("p"), reference.alias("r")).repartition(key)
-    sided = texts.select(
-        key,
-        F.explode(
-            F.flatten(
-                F.array(
-                    *[
-                        F.transform(ngrams(F.col(side), n), lambda g, n=n, s=is_pred: F.struct(F.lit(n).alias("n"), F.lit(s).alias("is_pred"), g.alias("gram")))
-                        for n in orders
-                        for side, is_pred in (("p", 1), ("r", 0))
-                    ]
-                )
-            )
-        ).alias("g"),
-    ).select(key, "g.*")
+
+    def tagged(side, is_pred, n):
+        mark = lambda g: F.struct(F.lit(n).alias("n"), F.lit(is_pred).alias("is_pred"), g.alias("gram"))
+        return F.transform(ngrams(F.col(side), n), mark)
+
+    sides = [tagged(side, is_pred, n) for n in orders for side, is_pred in (("p", 1), ("r", 0))]
+    sided = texts.select(key, F.explode(F.flatten(F.array(*sides))).alias("g")).select(key, "g.*")
     grams = sided.groupBy(key, "n", "gram").agg(
         F.sum("is_pred").alias("in_pred"), F.sum(1 - F.col("is_pred")).alias("in_ref")
     )

@@ -31,13 +31,13 @@ def encode(df: DataFrame, key: str, words: Column, vocabulary: DataFrame, cap: i
     A vocabulary above the broadcast bound is joined by shuffle instead.
     """
     rows = df.repartition(key).select(key, F.posexplode_outer(words).alias("pos", "word"))
-    table = vocabulary.select("word", "id")
+    table = vocabulary.select("word", F.col("id").alias("__code"))
     coded = rows.join(F.broadcast(table) if cap <= BROADCAST_WORDS else table, "word", "left")
-    kept = F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("pos", "id"))))
+    kept = F.array_sort(F.collect_list(F.when(F.col("__code").isNotNull(), F.struct("pos", "__code"))))
     gathered = coded.groupBy(key).agg(kept.alias("t"))
     return gathered.select(
         key,
-        F.transform("t", lambda s: s["id"]).alias("ids"),
+        F.transform("t", lambda s: s["__code"]).alias("ids"),
         F.transform("t", lambda s: s["pos"]).alias("word_ids"),
     )
 

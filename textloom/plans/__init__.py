@@ -23,6 +23,5 @@ MODULES = (
 
 
 def load_all() -> None:
-    import importlib.util
     for name in MODULES:
-        if importlib.util.find_spec(f"textloom.plans.{name}"): import_module(f"textloom.plans.{name}")
+        import_module(f"textloom.plans.{name}")

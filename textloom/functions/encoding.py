@@ -26,13 +26,6 @@ def _cp1252_bytes(error: UnicodeError):
         return raw.decode("latin-1"), error.end
 
 
-def repair(text: str) -> str:
-    codecs.register_error("textloom_cp1252", _cp1252_bytes)
-    as_text = text.encode("raw_unicode_escape").decode("utf-8", "textloom_cp1252")
-    as_bytes = b"".join(_one_byte_form(ch) for ch in as_text)
-    return as_bytes.decode("utf-8", "textloom_cp1252")
-
-
 def _one_byte_form(ch: str) -> bytes:
     try:
         return ch.encode("cp1252")
@@ -40,9 +33,28 @@ def _one_byte_form(ch: str) -> bytes:
         return ch.encode("utf-8")
 
 
+def _as_bytes(text: str) -> bytes:
+    try:
+        return text.encode("cp1252")
+    except UnicodeEncodeError:
+        return b"".join(map(_one_byte_form, text))
+
+
+def repair(text: str) -> str:
+    if text.isascii():
+        return text
+    codecs.register_error("textloom_cp1252", _cp1252_bytes)
+    as_text = text.encode("raw_unicode_escape").decode("utf-8", "textloom_cp1252")
+    return _as_bytes(as_text).decode("utf-8", "textloom_cp1252")
+
+
+_FORMS = str.maketrans(ASCII_FORMS)
+
+
 def to_ascii(text: str) -> str:
-    replaced = "".join(ASCII_FORMS.get(ch, ch) for ch in text)
-    return unicodedata.normalize("NFKD", replaced).encode("ascii", "ignore").decode("ascii")
+    if text.isascii():
+        return text
+    return unicodedata.normalize("NFKD", text.translate(_FORMS)).encode("ascii", "ignore").decode("ascii")
 
 
 @F.pandas_udf(T.StringType())

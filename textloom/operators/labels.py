@@ -19,7 +19,7 @@ IGNORE, NO_WORD = -100, -1
 
 def word_offsets(df: DataFrame, key: str, words: Column) -> DataFrame:
     """Character range of every word in the text whose words are joined by one blank."""
-    rows = df.select(key, F.posexplode(words).alias("word_no", "word"))
+    rows = df.repartition(key).select(key, F.posexplode(words).alias("word_no", "word"))
     upto = Window.partitionBy(key).orderBy("word_no").rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.withColumn("end_char", F.sum(F.length("word") + 1).over(upto) - 1)
     return placed.withColumn("start_char", F.col("end_char") - F.length("word"))
@@ -51,22 +51,33 @@ def token_word_map(tokens: DataFrame, offsets: DataFrame, key: str) -> DataFrame
     return joined.withColumn("word_no", F.coalesce("word_no", F.lit(NO_WORD)))
 
 
-def bio_tags(words: DataFrame, spans: DataFrame, key: str) -> DataFrame:
-    """`B-`/`I-` tag of every word of `words(key, word_no)`, `O` outside spans.
+def bio_tags(sizes: DataFrame, spans: DataFrame, key: str) -> DataFrame:
+    """`B-`/`I-` tag of every word of the texts in `sizes(key, n_words)`, `O` outside spans.
 
-    Where spans overlap, the later span (by start, then end) wins.
+    Where spans overlap, the later span (by start, then end) wins.  A text's
+    spans travel as one array; its words are numbered after that join, so the
+    word rows are already partitioned by text and are not shuffled.
     """
-    covered = spans.select(
-        key,
-        "class",
-        "start_word",
-        "end_word",
-        F.explode(F.sequence("start_word", "end_word")).alias("word_no"),
-    )
-    part = F.when(F.col("word_no") == F.col("start_word"), "B-").otherwise("I-")
-    last = F.max_by(F.concat(part, "class"), F.struct("start_word", "end_word", "class"))
-    tagged = covered.groupBy(key, "word_no").agg(last.alias("tag"))
-    return words.join(tagged, [key, "word_no"], "left").withColumn("tag", F.coalesce("tag", F.lit("O")))
+    bundled = spans.groupBy(key).agg(F.collect_list(F.struct("start_word", "end_word", "class")).alias("spans"))
+    joined = sizes.repartition(key).join(bundled, key, "left")
+
+    def entry(word, start, end, tag):
+        return F.struct(
+            word.cast("int").alias("word_no"), start.cast("int").alias("s"), end.cast("int").alias("e"), tag.alias("tag")
+        )
+
+    def covered(s):
+        def one(i):
+            part = F.when(i == s["start_word"], "B-").otherwise("I-")
+            return entry(i, s["start_word"], s["end_word"], F.concat(part, s["class"]))
+
+        return F.transform(F.sequence(s["start_word"], s["end_word"]), one)
+
+    none = F.lit(-1)
+    plain = F.transform(F.sequence(F.lit(0), F.col("n_words") - 1), lambda i: entry(i, none, none, F.lit("O")))
+    in_spans = F.coalesce(F.flatten(F.transform("spans", covered)), F.array())
+    rows = joined.select(key, F.explode(F.concat(plain, in_spans)).alias("r")).select(key, "r.*")
+    return rows.groupBy(key, "word_no").agg(F.max_by("tag", F.struct("s", "e", "tag")).alias("tag"))
 
 
 def tag_spans(tags: DataFrame, key: str, pos: str = "word_no", min_words: int = 1) -> DataFrame:

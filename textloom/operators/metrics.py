@@ -52,22 +52,41 @@ def confusion(df: DataFrame, label: str, prediction: str, classes: Sequence) ->
     return df.groupBy(label).pivot(prediction, list(classes)).agg(F.count(F.lit(1))).fillna(0)
 
 
-def span_matches(truth: DataFrame, predicted: DataFrame, key: str) -> DataFrame:
+SPAN_BUCKET = 64
+
+
+def span_matches(truth: DataFrame, predicted: DataFrame, key: str, bucket: int = SPAN_BUCKET) -> DataFrame:
     """Pairs of spans of one class that share words, with both overlap shares.
 
-    Spans meet on `(key, class, word)`, so only spans that do overlap are paired.
+    Spans are cut into buckets of `bucket` words and meet on `(key, class,
+    bucket)`: only near spans are compared and a long text is spread.  A pair
+    counts in the bucket where its shared words begin, hence once.
     """
-    words = lambda df, name: df.select(
+
+    def placed(df, name):
+        reach = F.sequence(F.floor(F.col("start_word") / bucket), F.floor(F.col("end_word") / bucket))
+        return df.select(
+            key,
+            "class",
+            F.col("span_id").alias(f"{name}_id"),
+            F.col("start_word").alias(f"{name}_from"),
+            F.col("end_word").alias(f"{name}_to"),
+            F.explode(reach).alias("bucket"),
+        )
+
+    begin, end = F.greatest("gt_from", "pred_from"), F.least("gt_to", "pred_to")
+    met = placed(truth, "gt").join(placed(predicted, "pred"), [key, "class", "bucket"])
+    shared = (end - begin + 1).alias("shared")
+    pairs = met.filter((begin <= end) & (F.floor(begin / bucket) == F.col("bucket")))
+    length = lambda name: F.col(f"{name}_to") - F.col(f"{name}_from") + 1
+    return pairs.select(
         key,
         "class",
-        F.col("span_id").alias(f"{name}_id"),
-        (F.col("end_word") - F.col("start_word") + 1).alias(f"{name}_len"),
-        F.explode(F.sequence("start_word", "end_word")).alias("word"),
-    )
-    met = words(truth, "gt").join(words(predicted, "pred"), [key, "class", "word"])
-    shared = met.groupBy(key, "class", "gt_id", "pred_id", "gt_len", "pred_len").agg(F.count("*").alias("shared"))
-    return shared.withColumns(
-        {"overlap_gt": F.col("shared") / F.col("gt_len"), "overlap_pred": F.col("shared") / F.col("pred_len")}
+        "gt_id",
+        "pred_id",
+        shared,
+        ((end - begin + 1) / length("gt")).alias("overlap_gt"),
+        ((end - begin + 1) / length("pred")).alias("overlap_pred"),
     )
 
 

@@ -177,8 +177,8 @@ def entity_per_split(t):
     from textloom.operators.labels import bio_tags
     from textloom.operators.splits import ratio_split
 
-    word_rows = fx.doc_words(t).select("doc_id", F.posexplode("words").alias("word_no", "word")).drop("word")
-    tags = bio_tags(word_rows, fx.gold_spans(t), "doc_id").filter(F.col("tag").startswith("B-"))
+    sizes = fx.doc_words(t).select("doc_id", F.size("words").alias("n_words"))
+    tags = bio_tags(sizes, fx.gold_spans(t), "doc_id").filter(F.col("tag").startswith("B-"))
     named = tags.withColumn("class", F.substring_index("tag", "-", -1)).filter(F.col("class").isin("Claim", "Evidence", "Lead"))
     split = ratio_split(named, "doc_id", {"train": 0.8, "test": 0.2}, 42)
     return split.groupBy("split").pivot("class", ["Claim", "Evidence", "Lead"]).agg(F.count("tag"))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from textloom.functions.hashing import hash_key
-from textloom.functions.text import words
+from textloom.functions.text import WORD, words
 from textloom.operators.labels import word_offsets
 from textloom.plans import sqltext as q
 
@@ -14,7 +14,7 @@ DIMS = 64
 
 
 def doc_words(t):
-    return t.documents.select("doc_id", words(F.col("text")).alias("words")).filter(F.size("words") > 0)
+    return t.documents.filter(F.col("text").rlike(WORD)).select("doc_id", words(F.col("text")).alias("words"))
 
 
 def class_name(code):

@@ -71,15 +71,13 @@ def runs_sql(tags, name):
 {name} AS (SELECT doc_id, class, min(word_no) AS start_word, max(word_no) AS end_word FROM {name}_r WHERE class <> 'O' GROUP BY doc_id, run, class)"""
 
 
-def word_numbers(t):
-    return fx.doc_words(t).select("doc_id", F.posexplode("words").alias("word_no", "word")).drop("word")
+def text_sizes(t):
+    return fx.doc_words(t).select("doc_id", F.size("words").alias("n_words"))
 
 
 @query("k10_bio_tags", f"WITH {fx.SPANS_SQL}, {tags_sql('pred', 'tg')} SELECT doc_id, word_no::INTEGER AS word_no, tag FROM tg")
 def bio_tags(t):
-    return lb.bio_tags(word_numbers(t), fx.predicted_spans(t), "doc_id").select(
-        "doc_id", F.col("word_no").cast("int").alias("word_no"), "tag"
-    )
+    return lb.bio_tags(text_sizes(t), fx.predicted_spans(t), "doc_id")
 
 
 _TARGET_SQL = f"""{_PIECES_SQL}, {fx.CHAR_SPANS_SQL},
@@ -112,7 +110,7 @@ def one_hot(t):
     f"WITH {fx.SPANS_SQL}, {tags_sql('pred', 'tg')}, {runs_sql('tg', 'sp')} SELECT doc_id, class, start_word, end_word FROM sp WHERE end_word - start_word + 1 > 4",
 )
 def tags_to_spans(t):
-    tags = lb.bio_tags(word_numbers(t), fx.predicted_spans(t), "doc_id")
+    tags = lb.bio_tags(text_sizes(t), fx.predicted_spans(t), "doc_id")
     spans = lb.tag_spans(tags, "doc_id", min_words=5)
     return spans.select(
         "doc_id", "class", F.col("start_word").cast("bigint").alias("start_word"), F.col("end_word").cast("bigint").alias("end_word")

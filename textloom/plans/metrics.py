@@ -9,7 +9,7 @@ from textloom.operators import labels as lb
 from textloom.operators import metrics as mt
 from textloom.plans import fixtures as fx
 from textloom.plans import sqltext as q
-from textloom.plans.labels import runs_sql, tags_sql, word_numbers
+from textloom.plans.labels import runs_sql, tags_sql, text_sizes
 from textloom.plans.registry import csv, query, r
 
 PREDICTED_SQL = "pr AS (SELECT vec_id, label, (list_position(embedding[1:10], list_max(embedding[1:10])) - 1)::INTEGER AS prediction FROM embeddings)"
@@ -93,7 +93,7 @@ def span_f1_compat(t):
 )
 def entity_scores(t):
     found = [
-        lb.tag_spans(lb.bio_tags(word_numbers(t), spans, "doc_id"), "doc_id")
+        lb.tag_spans(lb.bio_tags(text_sizes(t), spans, "doc_id"), "doc_id")
         for spans in (fx.gold_spans(t), fx.predicted_spans(t))
     ]
     scores = mt.entity_scores(*found, ["doc_id", "class", "start_word", "end_word"])

@@ -7,6 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.sources.readers import spread_small
+
+# Tables whose rows are long texts: much work per byte read.
+LONG_TEXTS = ("documents",)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -19,7 +24,8 @@ class Tables:
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread_small(table) if name in LONG_TEXTS else table
 
 
 def query(name: str, sql: str | None = None):

@@ -9,6 +9,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.functions import fuzzy
 from textloom.functions.hashing import HASH_SPACE, hash_key
 from textloom.functions.vectors import cosine
 
@@ -70,17 +71,25 @@ def attach_spans(docs: DataFrame, spans: DataFrame, key: str, keep: Sequence[str
     return joined.select(key, *keep, F.explode(F.transform("spans", cut)).alias("s")).select(key, *keep, "s.*")
 
 
-def contained(points: DataFrame, spans: DataFrame, key: str, bucket: int = RANGE_BUCKET) -> DataFrame:
+def contained(
+    points: DataFrame, spans: DataFrame, key: str, how: str = "inner", bucket: int = RANGE_BUCKET
+) -> DataFrame:
     """Rows of `points(key, tok_start, tok_end)` inside `spans(key, span_start, span_end)`.
 
     Both sides are cut into buckets of `bucket` characters and meet on
     `(key, bucket)`, so a long text is spread and only near pairs are compared.
+    A point lies in one bucket only, hence `how="left"` keeps lone points once.
     """
     reach = F.sequence(F.floor(F.col("span_start") / bucket), F.floor(F.col("span_end") / bucket))
-    placed = spans.withColumn("__bucket", F.explode(reach))
+    placed = spans.withColumnRenamed(key, "__key").withColumn("__cell", F.explode(reach))
     near = points.withColumn("__bucket", F.floor(F.col("tok_start") / bucket))
-    inside = (F.col("tok_start") >= F.col("span_start")) & (F.col("tok_end") <= F.col("span_end"))
-    return near.join(placed, [key, "__bucket"]).filter(inside).drop("__bucket")
+    met = (
+        (F.col(key) == F.col("__key"))
+        & (F.col("__bucket") == F.col("__cell"))
+        & (F.col("tok_start") >= F.col("span_start"))
+        & (F.col("tok_end") <= F.col("span_end"))
+    )
+    return near.join(placed, met, how).drop("__key", "__bucket", "__cell")
 
 
 def similarity_to(df: DataFrame, vector: str, query: Sequence[float]) -> DataFrame:
@@ -88,6 +97,18 @@ def similarity_to(df: DataFrame, vector: str, query: Sequence[float]) -> DataFra
     return df.withColumn("cosine", cosine(F.col(vector), F.lit([float(x) for x in query])))
 
 
+def scored_join(left: DataFrame, right: DataFrame, on: Sequence[str], a: str, b: str) -> DataFrame:
+    """Strings of two tables that share a key, with their similarity scores.
+
+    The key is the block: `right` holds one string per key (a reference list),
+    so every left row is scored once.
+    """
+    pairs = left.join(right, list(on))
+    return pairs.withColumns(
+        {"ratio": fuzzy.ratio(a, b), "jaro_winkler": fuzzy.jaro_winkler(a, b), "distance": fuzzy.hamming(F.col(a), F.col(b))}
+    )
+
+
 def fold_ensemble(scores: DataFrame, key: str, columns: Sequence[str], folds: int, digits: int = 1) -> DataFrame:
     """Sum of score / folds over the folds, rounded."""
     sums = [F.round(F.sum(F.col(c) / folds), digits).alias(c) for c in columns]

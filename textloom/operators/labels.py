@@ -46,9 +46,8 @@ def subword_rows(offsets: DataFrame, key: str, size: int) -> DataFrame:
 def token_word_map(tokens: DataFrame, offsets: DataFrame, key: str) -> DataFrame:
     """Word index of each token from character ranges alone, -1 outside any word."""
     spans = offsets.select(key, "word_no", F.col("start_char").alias("span_start"), F.col("end_char").alias("span_end"))
-    hit = contained(tokens.select(key, "tok_start", "tok_end"), spans, key).select(key, "tok_start", "word_no")
-    joined = tokens.join(hit, [key, "tok_start"], "left")
-    return joined.withColumn("word_no", F.coalesce("word_no", F.lit(NO_WORD)))
+    placed = contained(tokens, spans, key, how="left").drop("span_start", "span_end")
+    return placed.withColumn("word_no", F.coalesce("word_no", F.lit(NO_WORD)))
 
 
 def bio_tags(sizes: DataFrame, spans: DataFrame, key: str) -> DataFrame:
@@ -137,12 +136,11 @@ def align_labels(word_ids: Column, labels: Column, all_pieces: bool = False) ->
 def char_span_targets(tokens: DataFrame, spans: DataFrame, key: str, classes: Sequence[str]) -> DataFrame:
     """Class code of each token: 2k opens a span of class k, 2k+1 continues it, 2n outside."""
     code = F.array_position(F.lit(list(classes)), F.col("class")) - 1
-    inside = contained(tokens.select(key, "tok_start", "tok_end"), spans, key)
+    placed = contained(tokens, spans, key, how="left")
     first = F.min("tok_start").over(Window.partitionBy(key, "span_start"))
-    coded = inside.withColumn("target", 2 * code + (F.col("tok_start") != first).cast("int"))
-    hit = coded.groupBy(key, "tok_start").agg(F.max_by("target", "span_start").alias("target"))
-    joined = tokens.join(hit, [key, "tok_start"], "left")
-    return joined.withColumn("target", F.coalesce("target", F.lit(2 * len(classes))))
+    target = F.coalesce(2 * code + (F.col("tok_start") != first).cast("int"), F.lit(2 * len(classes)))
+    coded = placed.withColumn("target", target)
+    return coded.groupBy(*tokens.columns).agg(F.max_by("target", F.coalesce("span_start", F.lit(-1))).alias("target"))
 
 
 def one_hot(code: Column, width: int) -> Column:

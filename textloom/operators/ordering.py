@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from textloom.functions.hashing import HASH_BITS, hash_key
 from textloom.sources.scratch import durable
 
-_BLOCK, _VALUE, _BEFORE = "__block", "__value", "__before"
+_BLOCK, _VALUE, _BEFORE = "__block", "__value", "__offset"
 MAX_BLOCKS = 20_000
 ROWS_PER_BLOCK = 1_000_000
 
@@ -90,8 +90,8 @@ def dense_index(df: DataFrame, column: str, out: str, rows_per_block: int = ROWS
 def dense_index_by(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
     """Number the rows 0..n-1 along any total order (strings, several columns).
 
-    Range partitioning samples its input, so the partitioned rows are
-    checkpointed before the partition sizes are added up.
+    Range partitioning samples its input, so the partitioned rows are stored
+    before the partition sizes are added up.
     """
     ranged = durable(
         df.repartitionByRange(*order)
@@ -153,12 +153,25 @@ def shuffled_rank(
     ).drop("__hash")
 
 
-def fill_gaps(df: DataFrame, group: Sequence[str], order: str, value: str) -> DataFrame:
+def fill_gaps(
+    df: DataFrame, group: Sequence[str], order: str, value: str, rows_per_block: int = ROWS_PER_BLOCK
+) -> DataFrame:
     """Fill nulls from the row before, and leading nulls from the row after, in each group.
 
-    Sorting within the group spills to disk; nothing is collected.
+    Works in two levels like `running_total`: inside blocks of the numeric
+    order column, and between the blocks' first and last known values.
     """
-    w = Window.partitionBy(*group).orderBy(order)
-    forward = F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    backward = F.first(value, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    return df.withColumn(value, F.coalesce(forward, backward))
+    keys = list(group)
+    rows = with_quantile_block(df, order, rows_per_block)
+    known = F.when(F.col(value).isNotNull(), F.col(order))
+    ends = rows.groupBy(*keys, _BLOCK).agg(F.max_by(value, known).alias("__last"), F.min_by(value, known).alias("__first"))
+    blocks = Window.partitionBy(*keys).orderBy(_BLOCK)
+    before = F.last("__last", ignorenulls=True).over(blocks.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.first("__first", ignorenulls=True).over(blocks.rowsBetween(1, Window.unboundedFollowing))
+    around = ends.select(*keys, _BLOCK, before.alias("__before"), after.alias("__after"))
+    inside = Window.partitionBy(*keys, _BLOCK).orderBy(order)
+    forward = F.last(value, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    backward = F.first(value, ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing))
+    joined = rows.join(around, [*keys, _BLOCK])
+    filled = joined.withColumn(value, F.coalesce(forward, "__before", backward, "__after"))
+    return filled.drop(_BLOCK, "__before", "__after")

@@ -14,21 +14,29 @@ from textloom.operators.ordering import running_total
 TURNS_PER_BLOCK = 10_000
 
 
-def turn_pairs(turns: DataFrame) -> DataFrame:
+def turn_pairs(turns: DataFrame, measure: Column | None = None) -> DataFrame:
     """User turn and the assistant turn right after it, one row per pair.
 
     `turn` is the message position, so both messages of a pair meet on
     `(conv_id, pair_turn)`: one shuffle, no window, and a long conversation
     is spread over all tasks.  A leading assistant greeting meets no user turn.
+    `measure` of both turns is added up as `tokens`; it is taken before the
+    shuffle, so a job that needs only the lengths moves no text.
     """
     is_user = F.col("role") == "user"
     spoken = turns.filter(F.col("role").isin("user", "assistant"))
     keyed = spoken.withColumn("pair_turn", F.when(is_user, F.col("turn")).otherwise(F.col("turn") - 1))
-    pairs = keyed.groupBy("conv_id", "pair_turn").agg(
+    sides = [
         F.max(F.when(is_user, F.col("text"))).alias("question"),
         F.max(F.when(~is_user, F.col("text"))).alias("answer"),
-    )
-    return pairs.filter("question IS NOT NULL AND answer IS NOT NULL")
+        F.count_if(is_user).alias("__q"),
+        F.count_if(~is_user).alias("__a"),
+    ]
+    if measure is not None:
+        keyed = keyed.withColumn("__tokens", measure.cast("bigint"))
+        sides.append(F.sum("__tokens").alias("tokens"))
+    pairs = keyed.groupBy("conv_id", "pair_turn").agg(*sides)
+    return pairs.filter("__q > 0 AND __a > 0").drop("__q", "__a")
 
 
 def instruction_rows(turns: DataFrame) -> DataFrame:
@@ -47,16 +55,15 @@ def instruction_rows(turns: DataFrame) -> DataFrame:
     )
 
 
-def within_budget(pairs: DataFrame, tokens: Column, budget: int | Column, block: int = TURNS_PER_BLOCK) -> DataFrame:
-    """Newest pairs whose tokens, added up from the newest back, stay within the budget.
+def within_budget(pairs: DataFrame, budget: int | Column, block: int = TURNS_PER_BLOCK) -> DataFrame:
+    """Of `(conv_id, pair_turn, tokens, ...)`, the newest pairs whose tokens, added up from the newest back, stay within the budget.
 
     Every pair has at least one token, so the running sum only grows and the
     kept pairs are exactly those before the first excess.
     """
     budget = F.lit(budget) if isinstance(budget, int) else budget
-    counted = pairs.withColumn("tokens", tokens.cast("bigint"))
     summed = running_total(
-        counted,
+        pairs,
         group=["conv_id"],
         order=[F.desc("pair_turn")],
         block=-F.floor(F.col("pair_turn") / block),
@@ -71,6 +78,7 @@ def budgeted_prompt(turns: DataFrame, system: str, context: int, generation: int
     """System text, as much recent history as fits, and the open user turn.
 
     The open turn is a conversation's last message when the user wrote it.
+    A pair's tokens are those of its two rendered turns.
     What is collected per conversation is bounded by the budget.
     """
     last = turns.groupBy("conv_id").agg(F.max_by(F.struct("turn", "role", "text"), "turn").alias("m"))
@@ -78,8 +86,9 @@ def budgeted_prompt(turns: DataFrame, system: str, context: int, generation: int
     fixed = word_count(F.lit(system_prompt(system, "", "")))
     asked = open_turns.withColumn("room", F.lit(context - generation) - fixed - word_count(F.col("instruction")))
     entry = F.concat(history_entry(F.lit("User"), F.col("question")), history_entry(F.lit("Assistant"), F.col("answer")))
-    pairs = turn_pairs(turns).join(asked.select("conv_id", "room"), "conv_id").withColumn("entry", entry)
-    kept = within_budget(pairs, word_count(F.col("entry")), F.col("room"))
+    measure = word_count(history_entry(F.initcap("role"), F.col("text")))
+    pairs = turn_pairs(turns, measure).join(asked.select("conv_id", "room"), "conv_id").withColumn("entry", entry)
+    kept = within_budget(pairs, F.col("room"))
     history = kept.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("pair_turn", "entry"))).alias("h"))
     joined = asked.join(history, "conv_id", "left")
     text = F.coalesce(F.array_join(F.transform("h", lambda x: x["entry"]), ""), F.lit(""))

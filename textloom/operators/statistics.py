@@ -103,22 +103,23 @@ def bag_of_words(df: DataFrame, key: str, words: Column) -> DataFrame:
     return rows.groupBy(key, "word").agg(F.count("*").alias("tf"))
 
 
-def class_tf_idf(df: DataFrame, group: Sequence[str], words: Column) -> DataFrame:
-    """Class TF-IDF: a class is one long text.
+def class_word_counts(df: DataFrame, group: Sequence[str], words: Column) -> DataFrame:
+    return df.select(*group, F.explode(words).alias("word")).groupBy(*group, "word").agg(F.count("*").alias("tf"))
+
+
+def class_tf_idf(counts: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Class TF-IDF of `counts(group, word, tf)`: a class is one long text.
 
     term share in the class times log(1 + average words per class / term count).
+    `counts` is read three times and should be a stored table.
     """
     keys = list(group)
-    counts = df.select(*keys, F.explode(words).alias("word")).groupBy(*keys, "word").agg(F.count("*").alias("tf"))
     sizes = counts.groupBy(*keys).agg(F.sum("tf").alias("class_words"))
+    sizes = sizes.withColumn("avg_words", F.avg("class_words").over(Window.partitionBy()))  # one row per class
     overall = counts.groupBy("word").agg(F.sum("tf").alias("term_count"))
-    average = sizes.agg(F.avg("class_words").alias("avg_words")).first()[0]
-    return (
-        counts.join(overall, "word")
-        .join(sizes, keys)
-        .withColumn("score", F.col("tf") / F.col("class_words") * F.log(1 + F.lit(average) / F.col("term_count")))
-        .select(*keys, "word", "tf", "score")
-    )
+    score = F.col("tf") / F.col("class_words") * F.log(1 + F.col("avg_words") / F.col("term_count"))
+    joined = counts.join(overall, "word").join(sizes, keys)
+    return joined.withColumn("score", score).select(*keys, "word", "tf", "score")
 
 
 def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], count: int, out: str = "rank") -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.operators.statistics import class_tf_idf, top_per_group
+from textloom.operators.statistics import class_tf_idf, class_word_counts, top_per_group
+from textloom.sources.scratch import durable
 
 
 def time_bin(value: Column, low: int, high: int, bins: int) -> Column:
@@ -16,8 +17,10 @@ def time_bin(value: Column, low: int, high: int, bins: int) -> Column:
 
 def tuned_class_tf_idf(df: DataFrame, topic: str, within: Sequence[str], words: Column) -> DataFrame:
     """Class TF-IDF per topic and `within`, averaged with the topic's overall score."""
-    local = class_tf_idf(df, [topic, *within], words)
-    overall = class_tf_idf(df, [topic], words).select(topic, "word", F.col("score").alias("overall"))
+    counts = durable(class_word_counts(df, [topic, *within], words))
+    local = class_tf_idf(counts, [topic, *within])
+    by_topic = counts.groupBy(topic, "word").agg(F.sum("tf").alias("tf"))
+    overall = class_tf_idf(by_topic, [topic]).select(topic, "word", F.col("score").alias("overall"))
     joined = local.join(overall, [topic, "word"])
     return joined.withColumn("score", (F.col("score") + F.col("overall")) / 2).drop("overall")
 

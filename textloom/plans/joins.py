@@ -8,6 +8,7 @@ from textloom.operators.prompts import preference_pairs, turn_pairs
 from textloom.plans import fixtures as fx
 from textloom.plans import sqltext as q
 from textloom.plans.registry import query, r
+from textloom.sources.scratch import durable
 
 
 @query(
@@ -54,7 +55,8 @@ def label_lookup(t):
     """,
 )
 def word_vectors_default(t):
-    found = joins.vectors_with_default(fx.vocabulary(t).select("word"), fx.word_vectors(t))
+    vectors = durable(fx.word_vectors(t))  # a stored table as a rule; read twice here
+    found = joins.vectors_with_default(fx.vocabulary(t).select("word"), vectors)
     return found.select("word", "known", r(F.col("vec")[0]).alias("v1"), r(F.col("vec")[63]).alias("v64"))
 
 
@@ -112,6 +114,19 @@ def query_similarity(t):
     return joins.similarity_to(t.embeddings, "embedding", first).select("vec_id", r("cosine").alias("cosine"))
 
 
+@query(
+    "j9_scored_join",
+    f"""SELECT p_partkey, {q.r('100 * jaro_winkler_similarity(p_name, listed)', 4)} AS jaro_winkler,
+           CASE WHEN length(p_name) = length(listed) THEN hamming(p_name, listed)::BIGINT END::VARCHAR AS distance
+    FROM part JOIN (SELECT p_brand, min(p_name) AS listed FROM part GROUP BY p_brand) USING (p_brand)""",
+)
+def scored_join(t):
+    """Part names against one listed name per brand; the brand is the block."""
+    listed = t.part.groupBy("p_brand").agg(F.min("p_name").alias("listed"))
+    scored = joins.scored_join(t.part.select("p_partkey", "p_brand", "p_name"), listed, ["p_brand"], "p_name", "listed")
+    return scored.select("p_partkey", r("jaro_winkler", 4).alias("jaro_winkler"), F.col("distance").cast("string").alias("distance"))
+
+
 @query(
     "j10_preference_pairs",
     f"""

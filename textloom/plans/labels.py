@@ -93,7 +93,8 @@ tg AS (SELECT pc.doc_id, tok_start, 2 * (list_position({fx._CLASS_SQL}, class) -
 )
 def span_targets(t):
     spans = fx.char_spans(t).select("doc_id", "class", "span_start", "span_end")
-    found = lb.char_span_targets(_pieces(t), spans, "doc_id", fx.CLASSES)
+    pieces = _pieces(t).select("doc_id", "tok_start", "tok_end")
+    found = lb.char_span_targets(pieces, spans, "doc_id", fx.CLASSES)
     return found.select("doc_id", "tok_start", F.col("target").cast("int").alias("target"))
 
 

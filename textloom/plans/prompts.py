@@ -177,8 +177,8 @@ _FIXED_WORDS = len(tp.system_prompt(SYSTEM, "", "").split())
     f"""WITH {q.PAIRS},
     o AS (SELECT conv_id, text AS instruction, {CONTEXT_WORDS - ANSWER_WORDS - _FIXED_WORDS} - {q.word_count('text')} AS room FROM (
             SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS i FROM conversations) WHERE i = 1 AND role = 'user'),
-    e AS (SELECT p.conv_id, pair_turn, room, '### User:' || question || '</s>### Assistant:' || answer || '</s>' AS entry FROM pairs p JOIN o USING (conv_id)),
-    u AS (SELECT *, sum({q.word_count('entry')}) OVER (PARTITION BY conv_id ORDER BY pair_turn DESC) AS used FROM e),
+    e AS (SELECT p.conv_id, pair_turn, room, '### User:' || question || '</s>' AS eq, '### Assistant:' || answer || '</s>' AS ea FROM pairs p JOIN o USING (conv_id)),
+    u AS (SELECT *, eq || ea AS entry, sum({q.word_count('eq')} + {q.word_count('ea')}) OVER (PARTITION BY conv_id ORDER BY pair_turn DESC) AS used FROM e),
     h AS (SELECT conv_id, string_agg(entry, '' ORDER BY pair_turn) AS history FROM u WHERE used <= room GROUP BY conv_id)
     SELECT o.conv_id, '### System Prompt:' || chr(10) || '{SYSTEM}' || chr(10) || chr(10) || coalesce(history, '') || chr(10) || chr(10)
            || '### User Message: ' || instruction || chr(10) || chr(10) || '### Assistant:' AS prompt

@@ -11,6 +11,7 @@ from textloom.operators import topics as tp
 from textloom.plans import fixtures as fx
 from textloom.plans import sqltext as q
 from textloom.plans.registry import query, r
+from textloom.sources.scratch import durable
 
 _SIMPLE_SQL = r"list_filter(regexp_extract_all(lower(text), '[\p{L}\p{M}_]+'), lambda x: length(x) BETWEEN 4 AND 15 AND x NOT LIKE '\_%' ESCAPE '\')"
 _LOW = q.words("lower(text)")
@@ -22,7 +23,7 @@ _LOW = q.words("lower(text)")
     SELECT word, df, round_even(log2(n::DOUBLE / df), 0)::BIGINT AS idf, round_even(log2(docs::DOUBLE / df), 0)::BIGINT AS standard_idf FROM vocab, n""",
 )
 def rounded_idf(t):
-    frequencies = fx.vocabulary(t)
+    frequencies = durable(fx.vocabulary(t))
     both = st.rounded_idf(frequencies).withColumnRenamed("idf", "first_idf")
     both = st.rounded_idf(both, documents=t.documents.count())
     return both.select("word", "df", F.col("first_idf").alias("idf"), F.col("idf").alias("standard_idf"))
@@ -65,7 +66,8 @@ def _ctfidf_sql(name, keys, source):
       SELECT *, row_number() OVER (PARTITION BY source ORDER BY round(score, 10) DESC, word)::INTEGER AS rank FROM ct) WHERE rank <= 10""",
 )
 def class_tf_idf(t):
-    scored = st.class_tf_idf(t.documents, ["source"], words(F.lower("text")))
+    counts = durable(st.class_word_counts(t.documents, ["source"], words(F.lower("text"))))
+    scored = st.class_tf_idf(counts, ["source"])
     top = st.top_per_group(scored, ["source"], [F.desc(F.round("score", 10)), F.col("word")], 10)
     return top.select("source", "word", "tf", r("score", 8).alias("score"), "rank")
 
@@ -102,7 +104,7 @@ def cluster_labels(t):
     """The part of speech of a word comes from its hash, in place of a tagger."""
     tokens = t.documents.select(F.col("source").alias("cluster"), F.explode(words(F.lower("text"))).alias("word"))
     kind = F.element_at(F.lit(["VERB", "DOBJ", "NOUN", "ADJ"]), (hash_key(F.col("word"), 13) % 4 + 1).cast("int"))
-    labels = tp.cluster_labels(tokens, kind, st.rounded_idf(fx.vocabulary(t)))
+    labels = tp.cluster_labels(tokens, kind, st.rounded_idf(durable(fx.vocabulary(t))))
     sizes = t.documents.groupBy(F.col("source").alias("cluster")).agg(F.count("*").alias("n"))
     return sizes.join(labels, "cluster").select("cluster", "n", "label").orderBy(F.desc("n"), "cluster")
 

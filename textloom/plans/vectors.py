@@ -11,6 +11,7 @@ from textloom.operators.prompts import turn_pairs
 from textloom.plans import fixtures as fx
 from textloom.plans import sqltext as q
 from textloom.plans.registry import query, r
+from textloom.sources.scratch import durable
 
 TOKENS_SQL = """
 tv AS (SELECT vec_id // 8 AS doc_id, vec_id % 8 AS pos, (vec_id % 8 < 3 + (vec_id // 8) % 6)::INTEGER AS mask, embedding FROM embeddings)"""
@@ -101,7 +102,7 @@ def _cosine_sql(condition):
     UNION ALL SELECT 'no stop words', conv_id, pair_turn, {q.r('c')} FROM c2 WHERE c IS NOT NULL""",
 )
 def text_similarity(t):
-    bags, vectors = _pair_bags(t), fx.word_vectors(t)
+    bags, vectors = _pair_bags(t), durable(fx.word_vectors(t))
     lean = bags.join(fx.stop_words(t).select("word"), "word", "left_anti")
 
     def score(rows, name):

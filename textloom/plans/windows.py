@@ -61,8 +61,7 @@ def span_order_check(t):
     """,
 )
 def history_budget(t):
-    tokens = word_count(F.col("question")) + word_count(F.col("answer"))
-    kept = prompts.within_budget(prompts.turn_pairs(t.conversations), tokens, 120)
+    kept = prompts.within_budget(prompts.turn_pairs(t.conversations, word_count(F.col("text"))), 120)
     return kept.select("conv_id", "pair_turn", "tokens", "used_tokens")
 
 

@@ -24,8 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import Stored, discard, map_batches, utf8, values
-from textloom.llm.tokenizing import ID_BYTES, encoder
+from textloom.llm.common import Stored, discard, map_batches, values
+from textloom.llm.tokenizing import ID_BYTES, PieceEncoder
 
 PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 PACKED = "part long, uid long, piece int, length long, bin long, offset long, gap long"
@@ -39,11 +39,12 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int =
 
 
 def _pieces(batches, path, capacity, end_id, with_ids):
-    known, end = encoder(path), int(end_id).to_bytes(ID_BYTES, "little")
+    known, end = PieceEncoder(path), int(end_id).to_bytes(ID_BYTES, "little")
     rows, held = [], 0
     for batch in batches:
-        for uid, doc_id, text in zip(values(batch, "uid"), values(batch, "doc_id"), utf8(batch, "text")):
-            ids = known.encode((text or b"").decode()) + end
+        texts = [text or "" for text in values(batch, "text")]
+        for uid, doc_id, ids in zip(values(batch, "uid"), values(batch, "doc_id"), known.encode(texts)):
+            ids += end
             n = len(ids) // ID_BYTES
             starts = [0, *range(n % capacity or capacity, n, capacity)]
             for k, (a, b) in enumerate(zip(starts, [*starts[1:], n])):
@@ -174,9 +175,15 @@ def _packer(capacity: int, turn: int):
 
 def best_fit_sequences(
     docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, pieces_per_part: int = 50_000,
-    rounds: int = 4, with_ids: bool = False,
+    rounds: int = 4, with_ids: bool = False, task_bytes: int = 128 << 20,
 ) -> DataFrame:
-    """Every piece of `docs(doc_id, text)` with its sequence and place there."""
+    """Every piece of `docs(doc_id, text)` with its sequence and place there.
+
+    A task encodes about `task_bytes` of text, so that the words it has met pay
+    off; scan splits are put together for that, nothing is shuffled.
+    """
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    docs = docs.coalesce(max(1, math.ceil(size / task_bytes)))
     cut = Stored(pieces(docs, tokenizer, capacity, end_id, with_ids), "pieces")
     short = pack(cut.df.filter(F.col("length") < capacity), capacity, pieces_per_part, rounds)
     full = cut.df.filter(F.col("length") == capacity).withColumn("sequence_id", -1 - F.monotonically_increasing_id())

@@ -27,8 +27,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import Stored, map_batches, utf8, values
-from textloom.llm.tokenizing import ID_BYTES, encoder
+from textloom.llm.common import Stored, map_batches, values
+from textloom.llm.tokenizing import ID_BYTES, PieceEncoder
 from textloom.sources.scratch import new_path
 
 # Fixed values of the public seekable format.
@@ -175,14 +175,15 @@ def _write(batches, folder, path, end_id, frame_ids):
     part = context.partitionId()
     end = int(end_id).to_bytes(ID_BYTES, "little")
     own, final = f"{root}/.part-{part:06d}-{context.taskAttemptId()}", f"{root}/part-{part:06d}.tokens"
-    known, writer, out = encoder(path), None, None
+    known, writer, out = PieceEncoder(path), None, None
     for batch in batches:
-        for doc_id, text in zip(values(batch, "doc_id"), utf8(batch, "text")):
+        texts = [text or "" for text in values(batch, "text")]
+        for doc_id, ids in zip(values(batch, "doc_id"), known.encode(texts)):
             if writer is None:
                 store.create_dir(root, recursive=True)
                 out = store.open_output_stream(own)
                 writer = FrameWriter(out, frame_ids)
-            writer.add(doc_id, known.encode((text or b"").decode()) + end)
+            writer.add(doc_id, ids + end)
     if writer is not None:
         writer.finish()
         out.close()

@@ -2,76 +2,99 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
+
+import numpy as np
 
-_WIDE_GAP = re.compile(r"\s | \s|\A | \Z")
 ID_BYTES = 4  # ids are little-endian unsigned 32-bit integers
-_LOADED: dict[str, PieceEncoder] = {}
+TOGETHER = 64  # texts whose unknown pieces are encoded together
+_PLAIN_ENDS = (".", ",")
+
+
+@lru_cache(maxsize=2)
+def _loaded(path: str):
+    """The tokenizer, once for each worker process, and which of its tokens start with a space."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    vocabulary = tokenizer.get_vocab()
+    starts = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    starts[[k for piece, k in vocabulary.items() if piece[0] == "\u0120"]] = True
+    return tokenizer, starts
 
 
 class PieceEncoder:
-    """Encode texts with a tokenizer file, reusing the ids of pieces met before.
+    """Encode texts with a byte-level tokenizer file, reusing the ids of pieces met before.
 
-    A byte-level pre-tokenizer always cuts before a single space between two
-    non-space characters, so a text may be cut there and the pieces encoded on
-    their own; the ids joined are the ids of the whole text. Words repeat, so
-    most pieces are looked up. The memory is emptied when it holds `most`
-    pieces; pieces over 64 bytes are encoded but not kept.
-    """
+    The pre-tokenizer of such a file always cuts before a space or line end that
+    has a non-space character on both sides, so texts are cut there and the
+    pieces encoded on their own; the ids joined are the ids of the whole text. A
+    text with any other white space between pieces is encoded as a whole. A
+    letter and a full stop or comma after it are never in one token either, so
+    only the word before is looked up.
 
-    def __init__(self, path: str, most: int = 400_000):
-        from tokenizers import Tokenizer
+    Words repeat, so most pieces are found in memory. It is emptied before it
+    would hold more than `most` pieces; make one encoder for each task.
+    """
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    def __init__(self, path: str, most: int = 1_500_000):
+        self.tokenizer, self.starts_word = _loaded(path)
         self.most = most
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        """The ids of `text` as little-endian unsigned 32-bit integers."""
-        pieces = _pieces(text)
-        known = self.known
-        missing = [p for p in set(pieces) if p not in known]
-        extra = {}
-        if missing:
-            if len(known) + len(missing) > self.most:
-                known.clear()
-                missing = list(set(pieces))
-            for piece, ids in zip(missing, self._encode_all(missing)):
-                (known if len(piece) <= 64 else extra)[piece] = ids
-        if extra:
-            return b"".join([known.get(p) or extra[p] for p in pieces])
-        return b"".join([known[p] for p in pieces])
-
-    def _encode_all(self, pieces: list[str]) -> Iterator[bytes]:
-        import numpy as np
-
-        for at in range(0, len(pieces), 4096):
-            for found in self.tokenizer.encode_batch_fast(pieces[at : at + 4096], add_special_tokens=False):
-                yield np.asarray(found.ids, dtype="<u4").tobytes()
-
-
-def encoder(path: str) -> PieceEncoder:
-    """One encoder for each worker process and file."""
-    if path not in _LOADED:
-        _LOADED[path] = PieceEncoder(path)
-    return _LOADED[path]
-
-
-def _pieces(text: str) -> list[str]:
-    """Cut before each single space that has a non-space character on both sides."""
-    if not text:
-        return []
-    parts = text.split(" ")
-    if not _WIDE_GAP.search(text):
-        return [parts[0], *[" " + part for part in parts[1:]]]
-    pieces = [parts[0]]
-    open_end = parts[0] == "" or parts[0][-1].isspace()
-    for part in parts[1:]:
-        if part == "" or open_end or part[0].isspace():
-            pieces[-1] += " " + part
-        else:
-            pieces.append(" " + part)
-        open_end = part == "" or part[-1].isspace()
-    return pieces
+        self.known: dict[str, bytes | None] = {}
+
+    def whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return np.asarray(ids, dtype="<u4").tobytes()
+
+    def encode(self, texts: Sequence[str]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        for at in range(0, len(texts), TOGETHER):
+            group = texts[at : at + TOGETHER]
+            cut = [text.replace("\n", " \n").split(" ") for text in group]
+            firsts = [parts.pop(0) for parts in cut]
+            found = [list(map(self.known.get, parts)) for parts in cut]
+            gaps = [[i for i, ids in enumerate(row) if ids is None] for row in found]
+            pieces = {parts[i] for parts, row in zip(cut, gaps) for i in row}
+            if len(self.known) + len(pieces) > self.most:
+                self.known.clear()
+            self._learn(pieces)
+            for text, first, parts, row, empty in zip(group, firsts, cut, found, gaps):
+                for i in empty:
+                    row[i] = self.known[parts[i]]
+                if first == "" or first[0].isspace() or first[-1].isspace() or any(row[i] is None for i in empty):
+                    yield self.whole(text)  # it has a piece that does not stand for itself
+                else:
+                    yield self.whole(first) + b"".join(row)
+
+    def _learn(self, pieces: set[str]) -> None:
+        """A piece stands for itself after a space, or starts with its line end."""
+        known, words, ended, lines = self.known, set(), [], []
+        for piece in pieces:
+            if piece == "" or piece[-1].isspace():
+                known[piece] = None
+            elif piece[0] == "\n" or piece.split(None, 1)[0] != piece:
+                lines.append(piece)
+            elif piece[-1] in _PLAIN_ENDS and piece[-2:-1].isalpha():
+                ended.append(piece)
+                words.add(piece[:-1])
+            else:
+                words.add(piece)
+        self._learn_words([word for word in words if word not in known])
+        marks = {mark: self.whole(mark) for mark in _PLAIN_ENDS}
+        for piece in ended:
+            known[piece] = known[piece[:-1]] + marks[piece[-1]]
+        for piece in lines:
+            edge = piece[1:2] if piece[0] == "\n" else piece[:1]
+            known[piece] = None if edge.isspace() else self.whole(piece if piece[0] == "\n" else " " + piece)
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Words without white space are encoded as one text; a token with a leading space starts the next word."""
+        for at in range(0, len(words), 4096):
+            part = words[at : at + 4096]
+            ids = np.asarray(self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            starts = (np.flatnonzero(self.starts_word[ids]) * ID_BYTES).tolist()
+            data = ids.tobytes()
+            for word, a, b in zip(part, starts, [*starts[1:], len(data)], strict=True):
+                self.known[word] = data[a:b]

@@ -9,12 +9,14 @@ array is a suffix (named by its leading bytes' hash) with the stretch of text
 its windows cover (named by the stretch's hash) and how often it occurs.
 
 New batches of documents get arrays of their own, sorted by suffix; equal-sized
-levels of the family are merged, so an entry is rewritten log2(batches) times.
-A scan of the sorted family tells the suffixes that occur once from those that
+levels of the family are merged, so an entry is rewritten log2(batches) times;
+a level counts a suffix. A scan of the sorted family tells the suffixes that occur once from those that
 occur again. A stretch found twice is repeated as a whole. Where a suffix has
-several different stretches, and only there, their windows are compared one by
-one; of a stretch found often one copy takes part. Groups of copies, however
-large, are counted, never gathered.
+several different stretches, and only there, their windows are compared; of a
+stretch found often one copy takes part. A stretch sends the hashes of its
+windows as one array; a suffix with very many stretches is cut by the value of
+the hash, so equal windows still meet and no task holds more than a bounded
+part. Groups of copies, however large, are counted, never gathered.
 
 Matches do not cross documents; all occurrences count, also in the same row's
 text and overlapping. Rows are told apart by id and text hash and counted, so
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Sequence
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -33,11 +36,13 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import Stored, discard, map_batches, utf8, values
 from textloom.llm.simhash import mix
-from textloom.llm.substring import keyed, sliding_min
+from textloom.llm.substring import keyed, sliding_min, tag_of
 
 GROUP = 16  # bytes of a group
 CHUNK = 1 << 19  # windows looked at together
 PLACE_BITS = 20
+TAG_BITS, RUN_BITS = 24, 8  # a run is its first window, its number of windows, and a tag of the text
+TOGETHER = 2048  # stretches of one suffix that are compared in one group
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
 
 
@@ -77,19 +82,20 @@ def suffixes(text: bytes, length: int):
     return tuple(map(np.concatenate, (anchors, firsts, counts, stretches)))
 
 
-_ENTRY = "id long, th long, anchor long, stretch long, first long, n long"
+_ENTRY = "id long, anchor long, stretch long, run long"
 
 
 def _suffixes(batches, length):
-    names = ("id", "th", "anchor", "stretch", "first", "n")
+    names = ("id", "anchor", "stretch", "run")
     for batch in batches:
-        ids, hashes = values(batch, "id"), values(batch, "th")
+        ids, tags = values(batch, "id"), values(batch, "tag")
         out, held = [], 0
         for k, text in enumerate(utf8(batch, "text")):
             if text is None or len(text) < length:
                 continue
             anchor, first, n, stretch = suffixes(text, length)
-            out.append((np.full(len(n), ids[k]), np.full(len(n), hashes[k]), anchor.view(np.int64), stretch.view(np.int64), first, n))
+            run = (first << TAG_BITS + RUN_BITS) + (n << TAG_BITS) + tags[k]
+            out.append((np.full(len(n), ids[k]), anchor.view(np.int64), stretch.view(np.int64), run))
             held += len(n)
             if held > 100_000:
                 yield dict(zip(names, map(np.concatenate, zip(*out))))
@@ -99,103 +105,163 @@ def _suffixes(batches, length):
 
 
 class LevelFamily:
-    """Sorted tables of `(anchor, stretch, found, rep)`; two levels of the same rank become one of the next."""
+    """Sorted tables of `(anchor, found)`; two levels of the same rank become one of the next."""
 
     def __init__(self):
         self.levels: list[tuple[int, Stored]] = []
 
     def add(self, entries: DataFrame) -> None:
-        """Take in one batch of `(anchor, stretch, id)` rows."""
-        counted = entries.groupBy("anchor", "stretch").agg(F.count("*").alias("found"), F.min("id").alias("rep"))
-        self._push(0, Stored(counted.sortWithinPartitions("anchor", "stretch"), "level"))
+        """Take in one batch of rows with an `anchor`."""
+        counted = entries.groupBy("anchor").agg(F.count("*").alias("found"))
+        self._push(0, Stored(counted.sortWithinPartitions("anchor"), "level"))
 
     def _push(self, rank: int, level: Stored) -> None:
         while self.levels and self.levels[-1][0] == rank:
             other = self.levels.pop()[1]
-            merged = Stored(_merged([other.df, level.df]).sortWithinPartitions("anchor", "stretch"), "level")
+            merged = Stored(_merged([other.df, level.df]).sortWithinPartitions("anchor"), "level")
             discard(other, level)
             rank, level = rank + 1, merged
         self.levels.append((rank, level))
 
-    def scan(self) -> DataFrame:
-        """All entries over all levels."""
-        tables = [level.df for _, level in self.levels]
-        return tables[0] if len(tables) == 1 else _merged(tables)
+    def shared(self) -> DataFrame:
+        """The suffixes that occur again, over all levels."""
+        return _merged([level.df for _, level in self.levels]).filter("found > 1").select("anchor")
 
 
 def _merged(tables: Sequence[DataFrame]) -> DataFrame:
+    if len(tables) == 1:
+        return tables[0]
     rows = tables[0]
     for more in tables[1:]:
         rows = rows.unionByName(more)
-    return rows.groupBy("anchor", "stretch").agg(F.sum("found").alias("found"), F.min("rep").alias("rep"))
+    return rows.groupBy("anchor").agg(F.sum("found").alias("found"))
 
 
 def _windows(batches, length):
-    """Two hashes of each wanted window of a text, from polynomial prefix hashes over hashed bytes."""
-    names = ("h1", "h2", "id", "th", "at", "weight")
-    table = mix(np.arange(1, 513, dtype=np.uint64) * _ODD[0]).reshape(2, 256)
+    """For each wanted stretch the hashes of its windows and their places, cut by hash into the parts its suffix has."""
+    names = ("anchor", "part", "id", "tag", "weight", "first", "places", "hashes")
+    table = mix(np.arange(1, 257, dtype=np.uint64) * _ODD[0])
     for batch in batches:
-        ids, hashes = values(batch, "id"), values(batch, "th")
-        lists = [values(batch, c) for c in ("firsts", "ns", "weights")]
-        out, held = [], 0
+        ids, tags = values(batch, "id"), values(batch, "tag")
+        lists = [values(batch, c) for c in ("anchors", "runs", "partss", "weights")]
+        rows, held = [], 0
         for k, text in enumerate(utf8(batch, "text")):
-            wanted = sorted(set(zip(*(column[k] for column in lists))))
-            for first, n, weight in wanted:
-                h1, h2 = window_hashes(text[first : first + n + length - 1], length, table)
-                out.append((h1, h2, np.full(n, ids[k]), np.full(n, hashes[k]), np.arange(first, first + n), np.full(n, weight)))
+            for anchor, run, parts, weight in sorted(set(zip(*(column[k] for column in lists)))):
+                first, n = run >> TAG_BITS + RUN_BITS, run >> TAG_BITS & (1 << RUN_BITS) - 1
+                hashes = window_hashes(text[first : first + n + length - 1], length, table)
+                if parts == 1:
+                    rows.append((anchor, 0, ids[k], tags[k], weight, first, None, hashes.tobytes()))
+                else:
+                    part = (hashes % np.uint64(parts)).astype(np.int64)
+                    for p in np.unique(part).tolist():
+                        here = np.flatnonzero(part == p)
+                        rows.append((anchor, p, ids[k], tags[k], weight, first, here.astype("<i4").tobytes(), hashes[here].tobytes()))
                 held += n
-                if held > 100_000:
-                    yield dict(zip(names, map(np.concatenate, zip(*out))))
-                    out, held = [], 0
-        if out:
-            yield dict(zip(names, map(np.concatenate, zip(*out))))
+            if held > 200_000:
+                yield dict(zip(names, zip(*rows)))
+                rows, held = [], 0
+        if rows:
+            yield dict(zip(names, zip(*rows)))
+
 
+def _compare(batches, length):
+    """Ranges of the windows that occur again, of stretches that weigh one; rows come sorted by suffix and part.
 
-def window_hashes(part: bytes, length: int, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found = []
+    Equal windows have the same suffix and part, so whole groups are compared together, some at a time.
+    """
+    held, windows, last = [], 0, None
+
+    def ranges():
+        hashes = np.frombuffer(b"".join(r[5] for r in held), np.uint64)
+        sizes = np.array([len(r[5]) // 8 for r in held])
+        places = [r[3] + (np.arange(k) if r[4] is None else np.frombuffer(r[4], "<i4")) for r, k in zip(held, sizes.tolist())]
+        places = np.concatenate(places).astype(np.int64)
+        weight = np.repeat(np.array([r[2] for r in held]), sizes)
+        row = np.repeat(np.arange(len(held)), sizes)
+        _, at = np.unique(hashes, return_inverse=True)
+        again = (np.bincount(at, weights=weight)[at] > 1) & (weight == 1)
+        places, row = places[again], row[again]
+        if not len(places):
+            return None
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(places) != 1) | (np.diff(row) != 0)]))
+        ends = np.concatenate([new[1:], [len(places)]])
+        return {
+            "id": [held[r][0] for r in row[new].tolist()], "tag": [held[r][1] for r in row[new].tolist()],
+            "start": places[new], "size": ends - new + length - 1,
+        }
+
+    for batch in batches:
+        for anchor, part, *row in zip(*(values(batch, c) for c in ("anchor", "part", "id", "tag", "weight", "first", "places", "hashes"))):
+            if (anchor, part) != last:
+                if windows > 500_000:
+                    if (found := ranges()) is not None:
+                        yield found
+                    held, windows = [], 0
+                last = (anchor, part)
+            held.append(row)
+            windows += len(row[5]) // 8
+    if held and (found := ranges()) is not None:
+        yield found
+
+
+def window_hashes(part: bytes, length: int, table: np.ndarray) -> np.ndarray:
+    """A hash of every window, from polynomial prefix sums over hashed bytes."""
     data = np.frombuffer(part, np.uint8)
     n = len(data) - length + 1
-    for row in range(2):
-        inverse = np.uint64(pow(int(_ODD[row]), -1, 1 << 64))
-        with np.errstate(over="ignore"):
-            power = np.cumprod(np.full(len(data), _ODD[row]))
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(table[row][data] * power)])
-            # A window's sum carries the power of its start, which the inverse takes out.
-            found.append(mix((sums[length:] - sums[:-length]) * np.cumprod(np.full(n, inverse))).view(np.int64))
-    return tuple(found)
-
-
-def repeated_ranges(docs: DataFrame, length: int = 200, batches: int = 4) -> tuple[DataFrame, Stored]:
-    """`keyed(docs)`, and for its `(id, th)` the repeated ranges as lists `starts` and `sizes`."""
-    texts = keyed(docs)
-    rows = texts.select("id", "th", "text")
+    power, inverse = _powers(len(data))
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(table[data] * power)])
+        # A window's sum carries the power of its start, which the inverse takes out.
+        return mix((sums[length:] - sums[:-length]) * inverse[:n])
+
+
+@lru_cache(maxsize=64)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    inverse = np.uint64(pow(int(_ODD[0]), -1, 1 << 64))
+    with np.errstate(over="ignore"):
+        return np.cumprod(np.full(n, _ODD[0])), np.cumprod(np.full(n, inverse))
+
+
+def repeated_ranges(docs: DataFrame, length: int = 200, batches: int = 2) -> tuple[DataFrame, Stored]:
+    """`keyed(docs)`, and for its `(id, tag)` the repeated ranges as lists `starts` and `sizes`."""
+    if length - GROUP >= 1 << RUN_BITS:
+        raise ValueError(f"runs count up to {(1 << RUN_BITS) - 1} windows")
+    texts = keyed(docs, TAG_BITS)
+    rows = texts.select("id", "tag", "text")
     entries = Stored(map_batches(rows, _suffixes, _ENTRY, length=length), "suffixes")
     family = LevelFamily()
     for k in range(batches):
-        family.add(entries.df.filter(F.pmod("id", F.lit(batches)) == k).select("anchor", "stretch", "id"))
-    found = Stored(family.scan(), "found")
-    discard(*[level for _, level in family.levels])
-
-    several = found.df.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("found").alias("total")).filter("total > 1")
-    known = found.df.join(several.select("anchor", "kinds"), "anchor")
-    marked = entries.df.join(known, ["anchor", "stretch"])
-    whole = marked.filter("found > 1").select("id", "th", F.col("first").alias("start"), (F.col("n") + length - 1).alias("size"))
+        family.add(entries.df.filter(F.pmod("id", F.lit(batches)) == k).select("anchor"))
+    near = Stored(entries.df.join(family.shared(), "anchor"), "shared")
+    discard(entries, *[level for _, level in family.levels])
+
+    stretches = near.df.groupBy("anchor", "stretch").agg(F.count("*").alias("found"), F.min("id").alias("rep"))
+    stretches = Stored(stretches, "stretches")
+    kinds = stretches.df.groupBy("anchor").agg(F.count("*").alias("kinds"))
+    known = stretches.df.join(kinds, "anchor").filter("found > 1 or kinds > 1")
     # Where a suffix has several stretches: those found once, and one copy of those found more often, which weighs two.
-    compared = marked.filter("kinds > 1 and (found = 1 or id = rep)")
-    weight = F.when(F.col("found") > 1, 2).otherwise(1).cast("long")
-    lists = compared.groupBy("id", "th").agg(
-        F.collect_list("first").alias("firsts"), F.collect_list("n").alias("ns"), F.collect_list(weight).alias("weights")
+    marked = near.df.join(known, ["anchor", "stretch"]).select(
+        "id", "anchor", "run", F.least(F.col("found"), F.lit(2)).cast("int").alias("weight"),
+        F.when(F.expr("kinds > 1 and (found = 1 or id = rep)"), F.ceil(F.col("kinds") / TOGETHER)).cast("int").alias("parts"),
+    )
+    marked = Stored(marked, "marked")
+    discard(near, stretches)
+    first = F.shiftright("run", TAG_BITS + RUN_BITS)
+    n = F.shiftright("run", TAG_BITS).bitwiseAND(F.lit((1 << RUN_BITS) - 1))
+    whole = marked.df.filter("weight = 2").select(
+        "id", tag_of("run", TAG_BITS), first.alias("start"), (n + length - 1).alias("size")
     )
-    schema = "h1 long, h2 long, id long, th long, at long, weight long"
-    windows = Stored(map_batches(rows.join(lists, ["id", "th"]), _windows, schema, length=length), "windows")
-    again = windows.df.groupBy("h1", "h2").agg(F.sum("weight").alias("w")).filter("w > 1").select("h1", "h2")
-    hits = windows.df.filter("weight = 1").join(again, ["h1", "h2"])
-    hits = hits.select("id", "th", F.col("at").alias("start"), F.lit(length).cast("long").alias("size"))
-    ranges = whole.unionByName(hits).groupBy("id", "th").agg(
+    compared = marked.df.filter("parts is not null").select("id", tag_of("run", TAG_BITS), "anchor", "run", "parts", "weight")
+    lists = compared.groupBy("id", "tag").agg(*(F.collect_list(c).alias(f"{c}s") for c in ("anchor", "run", "parts", "weight")))
+    schema = "anchor long, part int, id long, tag int, weight int, first int, places binary, hashes binary"
+    windows = map_batches(rows.join(lists, ["id", "tag"]), _windows, schema, length=length)
+    windows = windows.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
+    hits = Stored(map_batches(windows, _compare, "id long, tag long, start long, size long", length=length), "hits")
+    ranges = whole.unionByName(hits.df).groupBy("id", "tag").agg(
         F.collect_list("start").alias("starts"), F.collect_list("size").alias("sizes")
     )
     ranges = Stored(ranges, "ranges")
-    discard(entries, found, windows)
+    discard(marked, hits)
     return texts, ranges
 
 
@@ -209,7 +275,7 @@ def merged_ranges(starts: Sequence[int], sizes: Sequence[int]) -> list[tuple[int
     return list(zip(first[new].tolist(), ends.tolist()))
 
 
-def without_repeated_bytes(docs: DataFrame, length: int = 200, batches: int = 4, with_kept: bool = True) -> DataFrame:
+def without_repeated_bytes(docs: DataFrame, length: int = 200, batches: int = 2, with_kept: bool = True) -> DataFrame:
     """`(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept)` of each row of `docs(doc_id, text)`.
 
     `spans` are the removed runs as flat `start, end` pairs; `kept` the bytes
@@ -219,7 +285,7 @@ def without_repeated_bytes(docs: DataFrame, length: int = 200, batches: int = 4,
     schema = (
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>, kept binary"
     )
-    rows = texts.join(ranges.df, ["id", "th"], "left").select("doc_id", "text", "starts", "sizes")
+    rows = texts.join(ranges.df, ["id", "tag"], "left").select("doc_id", "text", "starts", "sizes")
     return map_batches(rows, _cut, schema, with_kept=with_kept)
 
 

@@ -36,9 +36,14 @@ def discard(*tables: Stored) -> None:
         jvm = table.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(table.path)
         path.getFileSystem(table.spark._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
     if tables:
-        tables[0].spark._jvm.System.gc()
+        collect_garbage(tables[0].spark)
+
+
+def collect_garbage(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files that no live object refers to."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def map_batches(df: DataFrame, fn: Callable, schema: str, **params) -> DataFrame:

@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import Stored, discard, map_batches, utf8, values
+from textloom.llm.common import Stored, collect_garbage, discard, map_batches, utf8, values
 from textloom.llm.simhash import mix
 from textloom.llm.substring import keyed, sliding_min, tag_of
 
@@ -222,7 +222,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         return np.cumprod(np.full(n, _ODD[0])), np.cumprod(np.full(n, inverse))
 
 
-def repeated_ranges(docs: DataFrame, length: int = 200, batches: int = 2) -> tuple[DataFrame, Stored]:
+def repeated_ranges(docs: DataFrame, length: int = 200, batches: int = 2, passes: int = 2) -> tuple[DataFrame, Stored]:
     """`keyed(docs)`, and for its `(id, tag)` the repeated ranges as lists `starts` and `sizes`."""
     if length - GROUP >= 1 << RUN_BITS:
         raise ValueError(f"runs count up to {(1 << RUN_BITS) - 1} windows")
@@ -252,16 +252,22 @@ def repeated_ranges(docs: DataFrame, length: int = 200, batches: int = 2) -> tup
         "id", tag_of("run", TAG_BITS), first.alias("start"), (n + length - 1).alias("size")
     )
     compared = marked.df.filter("parts is not null").select("id", tag_of("run", TAG_BITS), "anchor", "run", "parts", "weight")
-    lists = compared.groupBy("id", "tag").agg(*(F.collect_list(c).alias(f"{c}s") for c in ("anchor", "run", "parts", "weight")))
     schema = "anchor long, part int, id long, tag int, weight int, first int, places binary, hashes binary"
-    windows = map_batches(rows.join(lists, ["id", "tag"]), _windows, schema, length=length)
-    windows = windows.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
-    hits = Stored(map_batches(windows, _compare, "id long, tag long, start long, size long", length=length), "hits")
-    ranges = whole.unionByName(hits.df).groupBy("id", "tag").agg(
+    hits = []
+    for k in range(passes):  # a share of the suffixes at a time, so that the hashes of all windows are never on disk together
+        share = compared.filter(F.pmod("anchor", F.lit(passes)) == k).groupBy("id", "tag")
+        lists = share.agg(*(F.collect_list(c).alias(f"{c}s") for c in ("anchor", "run", "parts", "weight")))
+        windows = map_batches(rows.join(lists, ["id", "tag"]), _windows, schema, length=length)
+        windows = windows.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
+        hits.append(Stored(map_batches(windows, _compare, "id long, tag long, start long, size long", length=length), "hits"))
+        collect_garbage(rows.sparkSession)
+    for more in hits:
+        whole = whole.unionByName(more.df)
+    ranges = whole.groupBy("id", "tag").agg(
         F.collect_list("start").alias("starts"), F.collect_list("size").alias("sizes")
     )
     ranges = Stored(ranges, "ranges")
-    discard(marked, hits)
+    discard(marked, *hits)
     return texts, ranges
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_module
 from tests.conftest import SF
 from textloom.functions import fuzzy
-from textloom.functions.encoding import repair, to_ascii
+from textloom.functions.encoding import repaired, to_ascii
 from textloom.functions.stemming import stem_word
 
 QUERIES = entry_module.queries()
@@ -65,7 +65,9 @@ def test_stem_query_equals_stemming_every_word(spark, tables):
 
 
 def test_repair_undoes_a_wrong_code_page(spark, tables):
-    assert repair("cafÃ© \xe2\x80\x99n") == "café ’n"
+    damaged = ["cafÃ© \xe2\x80\x99n", "it’s 5 € – ok", "café", "", None]
+    rows = spark.createDataFrame([(t,) for t in damaged], "t string").select(repaired(F.col("t")).alias("t")).collect()
+    assert [r.t for r in rows] == ["café ’n", "it’s 5 € – ok", "café", "", None]
     assert to_ascii("Crème brûlée – ß") == "Creme brulee - ss"
     got = {r.doc_id: r.repaired for r in QUERIES["t14_repair_encoding"](spark, SF).collect()}
     assert all(got[r.doc_id] == to_ascii(r.text) for r in tables.documents.select("doc_id", "text").collect())

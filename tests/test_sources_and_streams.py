@@ -72,3 +72,22 @@ def test_distinct_stream_with_watermark(spark):
     )
     kept = streams.distinct_stream(events, "text", "w", time="ts", delay="40 days")
     assert kept.count() == kept.select("text").distinct().count()
+
+
+def test_stream_reads_a_table_of_several_part_files(spark, tables, tmp_path):
+    from textloom.streaming.streams import run_available, table_stream
+
+    tables.documents.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = run_available(table_stream(spark, str(tmp_path), "documents", files_per_batch=1), "parts")
+    assert got.count() == tables.documents.count()
+
+
+def test_dense_index_places_null_rows_alike_for_any_block_count(spark):
+    from textloom.operators.ordering import dense_index, grouped_offset
+
+    df = spark.createDataFrame([(3,), (1,), (None,), (2,), (5,)], "v int")
+    want = {None: 0, 1: 1, 2: 2, 3: 3, 5: 4}
+    for rows_per_block in (1, 2, 1_000_000):
+        assert {r.v: r.i for r in dense_index(df, "v", "i", rows_per_block).collect()} == want
+    grouped = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "g string, v int")
+    assert grouped_offset(grouped, "g", "v", F.lit(1), "at").count() == 3

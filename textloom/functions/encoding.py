@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import codecs
 import unicodedata
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,30 @@ ASCII_FORMS = {
 }
 
 
+# What cp1252 shows for the bytes 0x80 to 0x9F, and the code points of those bytes.
+_SHOWN = {bytes([b]).decode("cp1252", "ignore"): chr(b) for b in range(0x80, 0xA0)}
+_SHOWN.pop("", None)
+
+
+def repaired(text: Column) -> Column:
+    """UTF-8 text that was read as cp1252 or latin-1, put right; any other text as it is.
+
+    Each character is taken as one byte. The bytes are the text only if all
+    characters have one and the bytes are valid UTF-8, so text that was never
+    damaged (typographic quotes, dashes, the euro sign) is not touched.
+    """
+    single = F.translate(text, "".join(_SHOWN), "".join(_SHOWN.values()))
+    raw = F.when(single.rlike(r"\A[\x00-\xFF]*\z"), F.encode(single, "ISO-8859-1")).cast("string")
+    return F.coalesce(F.when(F.is_valid_utf8(raw), raw), text)
+
+
+_FORMS = {
+    "ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "đ": "d", "ð": "d", "þ": "th",
+    "ł": "l", "Ł": "L", "‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "--", "…": "...", "€": "EUR",
+    "«": "<<", "»": ">>", "¿": "?", "¡": "!", "\xa0": " ",
+}
+
+
 def _cp1252_bytes(error: UnicodeError):
     """Undecodable bytes are taken as cp1252; bytes unknown there as latin-1."""
     raw = error.object[error.start : error.end]
@@ -58,5 +82,9 @@ def to_ascii(text: str) -> str:
 
 
 @F.pandas_udf(T.StringType())
-def repair_encoding(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: to_ascii(repair(t)), na_action="ignore")
+def _ascii_forms(texts: pd.Series) -> pd.Series:
+    return texts.map(to_ascii, na_action="ignore")
+
+
+def repair_encoding(text: Column | str) -> Column:
+    return _ascii_forms(repaired(F.col(text) if isinstance(text, str) else text))

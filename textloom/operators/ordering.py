@@ -36,8 +36,8 @@ def running_total(
 ) -> DataFrame:
     """Add `out`, the sum of `value` over the rows before (or up to) each row.
 
-    `block` must not decrease along `order`; `order` must be total.
-    Group columns must not be null.
+    `block` must not decrease along `order`; `order` must be total. A null
+    group is a group of its own.
     """
     keys = list(group)
     block = F.col(block) if isinstance(block, str) else block
@@ -46,17 +46,24 @@ def running_total(
     offsets = (
         rows.groupBy(*keys, _BLOCK)
         .agg(F.sum(_VALUE).alias("__sum"))
-        .select(*keys, _BLOCK, F.coalesce(F.sum("__sum").over(earlier_blocks), F.lit(0)).alias(_BEFORE))
+        .select(
+            *[F.col(k).alias(f"__of_{k}") for k in keys],
+            F.col(_BLOCK).alias("__at"),
+            F.coalesce(F.sum("__sum").over(earlier_blocks), F.lit(0)).alias(_BEFORE),
+        )
     )
+    same = F.col(_BLOCK) == F.col("__at")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__of_{k}"))
     within = (
         Window.partitionBy(*keys, _BLOCK)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     )
     return (
-        rows.join(offsets, [*keys, _BLOCK])
+        rows.join(offsets, same)
         .withColumn(out, F.col(_BEFORE) + F.coalesce(F.sum(_VALUE).over(within), F.lit(0)))
-        .drop(_BLOCK, _VALUE, _BEFORE)
+        .drop(_BLOCK, _VALUE, _BEFORE, "__at", *[f"__of_{k}" for k in keys])
     )
 
 
@@ -73,7 +80,9 @@ def with_quantile_block(df: DataFrame, column: str, rows_per_block: int = ROWS_P
     cuts = df.agg(F.percentile_approx(F.col(column).cast("double"), shares, 20 * blocks)).first()[0]
     splits = [-math.inf, *sorted(set(cuts)), math.inf]
     keyed = df.withColumn("__order", F.col(column).cast("double"))
-    return Bucketizer(splits=splits, inputCol="__order", outputCol=_BLOCK).transform(keyed).drop("__order")
+    cut = Bucketizer(splits=splits, inputCol="__order", outputCol=_BLOCK, handleInvalid="keep").transform(keyed)
+    # A row without a place comes first, as in any ascending sort.
+    return cut.withColumn(_BLOCK, F.when(F.col(column).isNull(), -1.0).otherwise(F.col(_BLOCK))).drop("__order")
 
 
 def dense_index(df: DataFrame, column: str, out: str, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:

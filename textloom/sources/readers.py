@@ -89,17 +89,6 @@ def parse_word_vectors(lines: DataFrame) -> DataFrame:
     )
 
 
-def spread_small(df: DataFrame, bytes_per_core: int = 16 << 20) -> DataFrame:
-    """Give every core a share of a table too small to be cut into enough splits.
-
-    A file with one row group is read by one task.  Above `bytes_per_core`
-    per core the scan's own splits are kept and nothing is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * bytes_per_core else df
-
-
 def percent_slice(df: DataFrame, order: str, lower: float, upper: float) -> DataFrame:
     """Rows from `lower` to `upper` percent along a unique numeric column."""
     total = df.count()

@@ -13,11 +13,14 @@ from textloom.sources.scratch import new_path
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int = 100) -> DataFrame:
-    """A stream of the parquet files called `name` in a folder, schema taken from the files there."""
-    pattern = f"{name}.parquet"
-    schema = spark.read.parquet(f"{folder}/{pattern}").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
-    return reader.option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+    """A stream of the table `name` of a folder, be it one parquet file or a folder of part files."""
+    path = f"{folder}/{name}.parquet"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_batch)
+    if store.getFileStatus(jvm_path).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
 def run_available(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:

@@ -222,7 +222,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         return np.cumprod(np.full(n, _ODD[0])), np.cumprod(np.full(n, inverse))
 
 
-def repeated_ranges(docs: DataFrame, length: int = 200, batches: int = 2, passes: int = 2) -> tuple[DataFrame, Stored]:
+def repeated_ranges(docs: DataFrame, length: int = 200, batches: int = 2, passes: int = 1) -> tuple[DataFrame, Stored]:
     """`keyed(docs)`, and for its `(id, tag)` the repeated ranges as lists `starts` and `sizes`."""
     if length - GROUP >= 1 << RUN_BITS:
         raise ValueError(f"runs count up to {(1 << RUN_BITS) - 1} windows")

@@ -144,12 +144,35 @@ def test_contained_equals_brute_force(spark):
     assert kept == len(set(pts))
 
 
-def test_long_stop_list_takes_the_join(spark):
-    df = spark.createDataFrame([(1, "The cat sat"), (2, "the"), (3, "")], "id bigint, text string")
-    stop = spark.createDataFrame([("the",), ("sat",)], "word string")
-    for limit in (10, 1):
-        got = texts.remove_stop_words(df, "id", tx.words(F.col("text")), stop, "kept", limit=limit)
-        assert {r.id: r.kept for r in got.collect()} == {1: ["cat"], 2: [], 3: []}
+def test_stop_list_keeps_rows_and_nulls(spark):
+    rows = [(1, "The cat sat"), (2, "the"), (3, ""), (4, None), (1, "sat up")]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    stop = spark.createDataFrame([("the",), ("sat",), ("the",)], "word string")
+    got = texts.remove_stop_words(df, tx.words(F.col("text")), stop, "kept", limit=2).collect()
+    assert sorted((r.id, r.text or "", r.kept) for r in got) == [
+        (1, "The cat sat", ["cat"]), (1, "sat up", ["up"]), (2, "the", []), (3, "", []), (4, "", None),
+    ]
+    with pytest.raises(ValueError):
+        texts.remove_stop_words(df, tx.words(F.col("text")), stop, "kept", limit=1)
+
+
+def test_window_draws_at_cluster_size(spark):
+    total, length = 25_000_000_000_000, 2048
+    starts = [r.s for r in spark.range(2000).select(tokens.window_start(F.col("id"), 1, total, length).alias("s")).collect()]
+    assert 0 <= min(starts) < total // 50 and total - total // 50 < max(starts) <= total - length
+    short = spark.range(5).select(tokens.window_start(F.col("id"), 1, 10, 256).alias("s")).collect()
+    assert [r.s for r in short] == [0] * 5
+
+
+def test_null_group_and_order_at_any_block_size(spark):
+    rows = [(None, 3, None), (None, 1, 5.0), ("a", 2, None), ("a", 4, 7.0), ("a", 6, None), ("a", None, None)]
+    df = spark.createDataFrame(rows, "g string, i bigint, x double")
+    want = [("None", 1, 5.0), ("None", 3, 5.0), ("a", -1, 7.0), ("a", 2, 7.0), ("a", 4, 7.0), ("a", 6, 7.0)]
+    for size in (1, 2, 1_000_000):
+        filled = ordering.fill_gaps(df, ["g"], "i", "x", rows_per_block=size).collect()
+        assert sorted((str(r.g), -1 if r.i is None else r.i, r.x) for r in filled) == want
+        assert ordering.grouped_offset(df, "g", "i", F.lit(1), "n", rows_per_block=size).count() == 6
+    assert ordering.dense_index(df.limit(0), "i", "n").count() == 0
 
 
 def test_first_copy_wins(spark):

@@ -34,44 +34,6 @@ def repaired(text: Column) -> Column:
     return F.coalesce(F.when(F.is_valid_utf8(raw), raw), text)
 
 
-_FORMS = {
-    "ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "đ": "d", "ð": "d", "þ": "th",
-    "ł": "l", "Ł": "L", "‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "--", "…": "...", "€": "EUR",
-    "«": "<<", "»": ">>", "¿": "?", "¡": "!", "\xa0": " ",
-}
-
-
-def _cp1252_bytes(error: UnicodeError):
-    """Undecodable bytes are taken as cp1252; bytes unknown there as latin-1."""
-    raw = error.object[error.start : error.end]
-    try:
-        return raw.decode("cp1252"), error.end
-    except UnicodeDecodeError:
-        return raw.decode("latin-1"), error.end
-
-
-def _one_byte_form(ch: str) -> bytes:
-    try:
-        return ch.encode("cp1252")
-    except UnicodeEncodeError:
-        return ch.encode("utf-8")
-
-
-def _as_bytes(text: str) -> bytes:
-    try:
-        return text.encode("cp1252")
-    except UnicodeEncodeError:
-        return b"".join(map(_one_byte_form, text))
-
-
-def repair(text: str) -> str:
-    if text.isascii():
-        return text
-    codecs.register_error("textloom_cp1252", _cp1252_bytes)
-    as_text = text.encode("raw_unicode_escape").decode("utf-8", "textloom_cp1252")
-    return _as_bytes(as_text).decode("utf-8", "textloom_cp1252")
-
-
 _FORMS = str.maketrans(ASCII_FORMS)
 
 

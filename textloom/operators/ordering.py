@@ -71,14 +71,13 @@ def with_quantile_block(df: DataFrame, column: str, rows_per_block: int = ROWS_P
     """Add a block number that follows `column` and holds about equal row counts.
 
     The cut points are read once and become literals, so a recomputed task
-    always sees the same blocks.
+    always sees the same blocks. There are two blocks at least, so that tables
+    of all sizes take the same way.
     """
-    blocks = min(MAX_BLOCKS, math.ceil(df.count() / rows_per_block))
-    if blocks <= 1:
-        return df.withColumn(_BLOCK, F.lit(0))
-    shares = [i / blocks for i in range(1, blocks)]
+    blocks = min(MAX_BLOCKS, math.ceil(df.count() / rows_per_block) + 1)
+    shares = [i / blocks for i in range(1, blocks)] or [0.5]
     cuts = df.agg(F.percentile_approx(F.col(column).cast("double"), shares, 20 * blocks)).first()[0]
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
+    splits = [-math.inf, *sorted({c for c in cuts or () if math.isfinite(c)} or {0.0}), math.inf]
     keyed = df.withColumn("__order", F.col(column).cast("double"))
     cut = Bucketizer(splits=splits, inputCol="__order", outputCol=_BLOCK, handleInvalid="keep").transform(keyed)
     # A row without a place comes first, as in any ascending sort.
@@ -177,10 +176,14 @@ def fill_gaps(
     blocks = Window.partitionBy(*keys).orderBy(_BLOCK)
     before = F.last("__last", ignorenulls=True).over(blocks.rowsBetween(Window.unboundedPreceding, -1))
     after = F.first("__first", ignorenulls=True).over(blocks.rowsBetween(1, Window.unboundedFollowing))
-    around = ends.select(*keys, _BLOCK, before.alias("__before"), after.alias("__after"))
+    around = ends.select(
+        *[F.col(k).alias(f"__of_{k}") for k in keys], F.col(_BLOCK).alias("__at"), before.alias("__before"), after.alias("__after")
+    )
     inside = Window.partitionBy(*keys, _BLOCK).orderBy(order)
     forward = F.last(value, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
     backward = F.first(value, ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing))
-    joined = rows.join(around, [*keys, _BLOCK])
-    filled = joined.withColumn(value, F.coalesce(forward, "__before", backward, "__after"))
-    return filled.drop(_BLOCK, "__before", "__after")
+    same = F.col(_BLOCK) == F.col("__at")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__of_{k}"))
+    filled = rows.join(around, same).withColumn(value, F.coalesce(forward, "__before", backward, "__after"))
+    return filled.drop(_BLOCK, "__before", "__after", "__at", *[f"__of_{k}" for k in keys])

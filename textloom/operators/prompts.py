@@ -109,13 +109,15 @@ def history_messages(pairs: DataFrame) -> DataFrame:
     return messages.filter("content IS NOT NULL AND content <> ''")
 
 
-def preference_pairs(answers: DataFrame, key: str, strong: str, weak: str) -> DataFrame:
+def preference_pairs(answers: DataFrame, key: str | Sequence[str], strong: str, weak: str) -> DataFrame:
     """Chosen and rejected answers of one prompt, by the model that wrote them.
 
-    `answers` is `(key, prompt, model, answer)` with one answer per model.
+    `answers` is `(key, prompt, model, answer)` with one answer per model; the
+    key is one column or several.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     side = lambda model: F.max(F.when(F.col("model") == model, F.col("answer")))
-    pairs = answers.filter(F.col("model").isin(strong, weak)).groupBy(key, "prompt").agg(
+    pairs = answers.filter(F.col("model").isin(strong, weak)).groupBy(*keys, "prompt").agg(
         side(strong).alias("chosen"), side(weak).alias("rejected")
     )
     return pairs.filter("chosen IS NOT NULL AND rejected IS NOT NULL")

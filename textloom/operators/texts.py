@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textloom.functions.stemming import porter_stem
 from textloom.functions.text import without_words
 
-INLINE_LIST_LIMIT = 10_000
+LIST_LIMIT = 100_000
 
 
 def word_rows(df: DataFrame, key: str, words: Column, pos: str = "pos", word: str = "word") -> DataFrame:
@@ -22,22 +22,16 @@ def gather_words(rows: DataFrame, key: str, value: str, out: str, pos: str = "po
     return rows.groupBy(key).agg(F.transform(F.array_sort(kept), lambda s: s[value]).alias(out))
 
 
-def remove_stop_words(
-    df: DataFrame, key: str, words: Column, stop: DataFrame, out: str, limit: int = INLINE_LIST_LIMIT
-) -> DataFrame:
-    """Drop words listed in `stop(word)`, compared in lower case.
+def remove_stop_words(df: DataFrame, words: Column, stop: DataFrame, out: str, limit: int = LIST_LIMIT) -> DataFrame:
+    """Drop words listed in `stop(word)`, compared in lower case; a null stays null.
 
-    A list of at most `limit` words becomes a hash set inside the expression;
-    a longer one is an anti join on the words.
+    The list becomes a hash set inside the expression, so no text is shuffled
+    and rows stay as they are. A list of more than `limit` words is an error.
     """
-    listed = [row.word for row in stop.select("word").limit(limit + 1).collect()]
-    if len(listed) <= limit:
-        return df.withColumn(out, without_words(words, listed))
-    rows = word_rows(df, key, words).withColumn("__low", F.lower("word"))
-    kept = rows.join(stop.select(F.col("word").alias("__low")), "__low", "left_anti")
-    gathered = gather_words(kept, key, "word", out)
-    empty = F.array().cast("array<string>")
-    return df.join(gathered, key, "left").withColumn(out, F.coalesce(out, empty))
+    listed = [row.word for row in stop.select("word").distinct().limit(limit + 1).collect()]
+    if len(listed) > limit:
+        raise ValueError(f"more than {limit} stop words; raise limit if the driver and the tasks can hold them")
+    return df.withColumn(out, without_words(words, listed))
 
 
 def replace_words(df: DataFrame, key: str, words: Column, mapping: DataFrame, out: str) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.functions.hashing import HASH_SPACE, hash_key
+from textloom.functions.hashing import WIDE_BITS, hash_key
 from textloom.operators.ordering import dense_index, prefix_offset
 from textloom.operators.statistics import top_words
 from textloom.sources.scratch import durable
@@ -23,20 +25,21 @@ def fit_vocabulary(df: DataFrame, words: Column, cap: int) -> DataFrame:
     return top.withColumn("id", F.row_number().over(Window.orderBy(F.desc("n"), "word"))).select("word", "id", "n")
 
 
-def encode(df: DataFrame, key: str, words: Column, vocabulary: DataFrame, cap: int) -> DataFrame:
-    """`(key, ids, word_ids)` per text; unknown words are dropped.
+def encode(df: DataFrame, key: str | Sequence[str], words: Column, vocabulary: DataFrame, cap: int) -> DataFrame:
+    """`(key, ids, word_ids)` per text, where `key` is one column or several; unknown words are dropped.
 
     The texts are partitioned by key first, so looking the words up in the
     broadcast vocabulary and gathering them again needs no further shuffle.
     A vocabulary above the broadcast bound is joined by shuffle instead.
     """
-    rows = df.repartition(key).select(key, F.posexplode_outer(words).alias("pos", "word"))
+    keys = [key] if isinstance(key, str) else list(key)
+    rows = df.repartition(*keys).select(*keys, F.posexplode_outer(words).alias("pos", "word"))
     table = vocabulary.select("word", F.col("id").alias("__code"))
     coded = rows.join(F.broadcast(table) if cap <= BROADCAST_WORDS else table, "word", "left")
     kept = F.array_sort(F.collect_list(F.when(F.col("__code").isNotNull(), F.struct("pos", "__code"))))
-    gathered = coded.groupBy(key).agg(kept.alias("t"))
+    gathered = coded.groupBy(*keys).agg(kept.alias("t"))
     return gathered.select(
-        key,
+        *keys,
         F.transform("t", lambda s: s["__code"]).alias("ids"),
         F.transform("t", lambda s: s["pos"]).alias("word_ids"),
     )
@@ -76,17 +79,22 @@ def pack(df: DataFrame, key: str, ids: str, length: int, eos: int = EOS) -> Data
     return pieces.groupBy("block").agg(F.flatten(F.transform(ordered, lambda s: s["piece"])).alias("ids"))
 
 
+def window_start(window: Column, seed: int, total: int, length: int) -> Column:
+    """A drawn place of `length` tokens in a stream of `total`; every place can be drawn, at any size."""
+    return F.pmod(hash_key(window, seed, WIDE_BITS), F.lit(max(1, total - length + 1)).cast("bigint"))
+
+
 def calibration_windows(df: DataFrame, key: str, ids: str, count: int, length: int, seed: int) -> DataFrame:
     """`count` windows of `length` tokens from hash-drawn places in the token stream.
 
     A window touches two neighbouring blocks at most and meets its pieces on
-    the block number.
+    the block number. A stream shorter than a window is one short window.
     """
     stored = durable(df)
     total = stored.agg(F.sum(F.size(ids) + 1)).first()[0]
     starts = df.sparkSession.range(count).select(
         F.col("id").alias("window"),
-        F.floor(hash_key(F.col("id"), seed) * F.lit(total - length) / HASH_SPACE).alias("start"),
+        window_start(F.col("id"), seed, total, length).alias("start"),
     )
     reach = F.sequence(F.floor(F.col("start") / length), F.floor((F.col("start") + length - 1) / length))
     wanted = starts.withColumn("block", F.explode(reach))

@@ -131,17 +131,17 @@ def scored_join(t):
     "j10_preference_pairs",
     f"""
     WITH {q.PAIRS}
-    SELECT conv_id * 1000 + pair_turn AS key, question AS prompt, answer AS chosen, reverse(answer) AS rejected FROM pairs
+    SELECT conv_id, pair_turn, question AS prompt, answer AS chosen, reverse(answer) AS rejected FROM pairs
     """,
 )
 def preference_join(t):
-    pairs = turn_pairs(t.conversations).withColumn("key", F.col("conv_id") * 1000 + F.col("pair_turn"))
+    pairs, key = turn_pairs(t.conversations), ["conv_id", "pair_turn"]
     sides = F.array(
         F.struct(F.lit("strong").alias("model"), F.col("answer").alias("answer")),
         F.struct(F.lit("weak").alias("model"), F.reverse("answer").alias("answer")),
     )
-    answers = pairs.select("key", F.col("question").alias("prompt"), F.explode(sides).alias("s")).select("key", "prompt", "s.*")
-    return preference_pairs(answers, "key", "strong", "weak")
+    answers = pairs.select(*key, F.col("question").alias("prompt"), F.explode(sides).alias("s")).select(*key, "prompt", "s.*")
+    return preference_pairs(answers, key, "strong", "weak")
 
 
 @query(

@@ -11,8 +11,8 @@ def word_count(x: str) -> str:
     return f"len({words(x)})"
 
 
-def hash_key(x: str, seed: int) -> str:
-    return f"('0x' || substr(md5('{seed}:' || {x}), 1, 7))::BIGINT"
+def hash_key(x: str, seed: int, bits: int = 28) -> str:
+    return f"('0x' || substr(md5('{seed}:' || {x}), 1, {bits // 4}))::BIGINT"
 
 
 def strip(x: str, pattern: str, replacement: str = "") -> str:

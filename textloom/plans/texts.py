@@ -101,7 +101,7 @@ def collapse_blanks(t):
         FROM (SELECT doc_id, {q.words('text')} AS w FROM documents), (SELECT list(word) AS l FROM stop)""",
 )
 def stop_words(t):
-    kept = texts.remove_stop_words(t.documents, "doc_id", tx.words(F.col("text")), fx.stop_words(t), "kept")
+    kept = texts.remove_stop_words(t.documents, tx.words(F.col("text")), fx.stop_words(t), "kept")
     return kept.select("doc_id", F.array_join("kept", " ").alias("kept"))
 
 
@@ -151,7 +151,7 @@ _CLEAN_SQL = f"translate({q.strip(_CLEAN_SQL, chr(92) + 'p{Nd}+')}, '{tx.REVIEW_
 def full_cleaning(t):
     """The ordered cleaning steps and stop words in one projection (stems: see t9)."""
     words = tx.words(F.lower(tx.clean_review(F.col("text"))))
-    kept = texts.remove_stop_words(t.documents, "doc_id", words, fx.stop_words(t), "kept")
+    kept = texts.remove_stop_words(t.documents, words, fx.stop_words(t), "kept")
     return kept.select("doc_id", tx.collapse_blanks(F.array_join("kept", " ")).alias("cleaned"))
 
 
@@ -345,10 +345,10 @@ def mention_indices(t):
 _DEP_SQL = f"""
     s AS (SELECT doc_id, i - 1 AS sent_no, {q.words('s[i]')} AS w FROM (SELECT doc_id, s, unnest(generate_series(1, len(s))) AS i FROM (SELECT doc_id, {q.sentences('text')} AS s FROM documents))),
     dep AS (SELECT doc_id, sent_no, i - 1 AS tok, w[i] AS text,
-              CASE i WHEN 1 THEN 1 WHEN 2 THEN 1 WHEN 3 THEN 1 WHEN 4 THEN 1 ELSE 3 END AS head,
-              CASE i WHEN 1 THEN 'nsubj' WHEN 2 THEN 'ROOT' WHEN 3 THEN 'dobj' WHEN 4 THEN 'prep' ELSE 'pobj' END AS dep,
-              CASE i WHEN 2 THEN 'VERB' WHEN 4 THEN 'ADP' WHEN 3 THEN CASE WHEN length(w[i]) > 3 THEN 'NOUN' ELSE 'PRON' END ELSE 'NOUN' END AS pos
-            FROM (SELECT doc_id, sent_no, w, unnest(generate_series(1, least(5, len(w)))) AS i FROM s))"""
+              CASE WHEN i <= 3 OR i % 2 = 0 THEN 1 ELSE i - 2 END AS head,
+              CASE WHEN i = 1 THEN 'nsubj' WHEN i = 2 THEN 'ROOT' WHEN i = 3 THEN 'dobj' WHEN i % 2 = 0 THEN 'prep' ELSE 'pobj' END AS dep,
+              CASE WHEN i = 2 THEN 'VERB' WHEN i % 2 = 0 THEN 'ADP' WHEN i = 3 AND length(w[i]) <= 3 THEN 'PRON' ELSE 'NOUN' END AS pos
+            FROM (SELECT doc_id, sent_no, w, unnest(generate_series(1, len(w))) AS i FROM s))"""
 
 
 @query(
@@ -357,21 +357,24 @@ _DEP_SQL = f"""
         v AS (SELECT doc_id, sent_no, text AS verb FROM dep WHERE dep = 'ROOT'),
         o AS (SELECT doc_id, sent_no, text AS phrase FROM dep WHERE dep = 'dobj' AND pos = 'NOUN'
               UNION ALL SELECT p.doc_id, p.sent_no, p.text || ' ' || c.text FROM dep p JOIN dep c
-                ON p.doc_id = c.doc_id AND p.sent_no = c.sent_no AND c.head = 3 AND p.dep = 'prep' AND c.dep = 'pobj')
+                ON p.doc_id = c.doc_id AND p.sent_no = c.sent_no AND c.head = p.tok AND p.dep = 'prep' AND c.dep = 'pobj')
         SELECT v.doc_id, v.sent_no::INTEGER AS sent_no, s.text || ' ' || verb || ' ' || phrase AS action
         FROM v JOIN dep s ON s.doc_id = v.doc_id AND s.sent_no = v.sent_no AND s.dep = 'nsubj'
         JOIN o ON o.doc_id = v.doc_id AND o.sent_no = v.sent_no""",
 )
 def actions(t):
-    """A rule stands in for the parser: word 1 subject, 2 verb, 3 object, 4 preposition, 5 its object."""
+    """A rule stands in for the parser: word 1 subject, 2 verb, 3 object, then prepositions and their objects in turn."""
     rows = t.documents.select("doc_id", F.posexplode(tx.sentences(F.col("text"))).alias("sent_no", "sentence"))
     tok = rows.select("doc_id", "sent_no", F.posexplode(tx.words(F.col("sentence"))).alias("tok", "text"))
-    named = tok.filter("tok < 5").withColumns(
+    odd = F.col("tok") % 2 == 1
+    named = tok.withColumns(
         {
-            "head": F.when(F.col("tok") < 4, 1).otherwise(3),
-            "dep": F.element_at(F.lit(["nsubj", "ROOT", "dobj", "prep", "pobj"]), F.col("tok") + 1),
+            "head": F.when((F.col("tok") < 3) | odd, 1).otherwise(F.col("tok") - 1),
+            "dep": F.when(F.col("tok") < 3, F.get(F.lit(["nsubj", "ROOT", "dobj"]), F.col("tok")))
+            .when(odd, "prep")
+            .otherwise("pobj"),
             "pos": F.when(F.col("tok") == 1, "VERB")
-            .when(F.col("tok") == 3, "ADP")
+            .when(odd, "ADP")
             .when((F.col("tok") == 2) & (F.length("text") <= 3), "PRON")
             .otherwise("NOUN"),
         }
@@ -389,7 +392,7 @@ PRONOUNS = ["i", "you", "he", "she", "it", "we", "they", "that", "this", "il", "
 )
 def drop_pronouns(t):
     table = t.spark.createDataFrame([(w,) for w in PRONOUNS], "word string")
-    kept = texts.remove_stop_words(t.documents, "doc_id", tx.words(F.col("text")), table, "kept")
+    kept = texts.remove_stop_words(t.documents, tx.words(F.col("text")), table, "kept")
     return kept.select("doc_id", F.array_join("kept", " ").alias("kept"))
 
 

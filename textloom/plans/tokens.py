@@ -144,7 +144,7 @@ def packed_blocks(t):
     "k16_calibration_windows",
     f"""WITH {VOCAB_SQL}, {_STREAM_SQL},
     n AS (SELECT count(*) AS n FROM nu),
-    w AS (SELECT i AS "window", floor(h * (n - 256) / 268435456.0::DOUBLE)::BIGINT AS start FROM (SELECT i, {q.hash_key('i', 9)} AS h FROM range(32) r(i)), n)
+    w AS (SELECT i AS "window", (h % greatest(1, n - 256 + 1))::BIGINT AS start FROM (SELECT i, {q.hash_key('i', 9, 60)} AS h FROM range(32) r(i)), n)
     SELECT "window", start, string_agg(id::VARCHAR, ',' ORDER BY spot) AS ids FROM w JOIN nu ON spot >= start AND spot < start + 256 GROUP BY ALL""",
 )
 def calibration_windows(t):

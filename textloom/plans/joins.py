@@ -89,9 +89,8 @@ def document_spans(t):
 @query(
     "j6_tokens_in_spans",
     f"""
-    WITH {fx.SPANS_SQL}, {fx.OFFSETS_SQL}, {fx.CHAR_SPANS_SQL}
-    SELECT wo.doc_id, word_no::INTEGER AS word_no, k, class FROM wo JOIN cs
-      ON wo.doc_id = cs.doc_id AND start_char >= span_start AND end_char <= span_end
+    WITH {fx.SPANS_SQL}
+    SELECT doc_id, unnest(generate_series(start_word, end_word))::INTEGER AS word_no, k, class FROM gold
     """,
 )
 def tokens_in_spans(t):

@@ -80,10 +80,11 @@ def bio_tags(t):
     return lb.bio_tags(text_sizes(t), fx.predicted_spans(t), "doc_id")
 
 
-_TARGET_SQL = f"""{_PIECES_SQL}, {fx.CHAR_SPANS_SQL},
-tg AS (SELECT pc.doc_id, tok_start, 2 * (list_position({fx._CLASS_SQL}, class) - 1)
-              + (tok_start <> min(tok_start) OVER (PARTITION BY pc.doc_id, span_start))::INTEGER AS target
-       FROM pc JOIN cs ON pc.doc_id = cs.doc_id AND tok_start >= span_start AND tok_end <= span_end)"""
+_TARGET_SQL = f"""{_PIECES_SQL},
+sw AS (SELECT doc_id, class, start_word, unnest(generate_series(start_word, end_word)) AS word_no FROM gold),
+tg AS (SELECT doc_id, tok_start, 2 * (list_position({fx._CLASS_SQL}, class) - 1)
+              + (word_no <> start_word OR piece_no > 0)::INTEGER AS target
+       FROM pc JOIN sw USING (doc_id, word_no))"""
 
 
 @query(

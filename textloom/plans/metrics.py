@@ -72,6 +72,15 @@ def span_f1(t):
     return scored.select("class", "tp", "fp", "fn", r("f1").alias("f1"))
 
 
+@query(
+    "q3_mean_f1",
+    f"WITH {_OVERLAP_SQL} SELECT count(*) AS classes, {q.r('avg(tp / (tp + 0.5::DOUBLE * (fp + fn)))')} AS mean_f1 FROM cn",
+)
+def mean_span_f1(t):
+    scored = mt.span_f1(_with_ids(fx.gold_spans(t)), _with_ids(fx.predicted_spans(t)), "doc_id")
+    return scored.agg(F.count("*").alias("classes"), r(F.avg("f1")).alias("mean_f1"))
+
+
 @query(
     "q3_span_f1_compat",
     f"""WITH {_OVERLAP_SQL},

@@ -13,10 +13,10 @@ levels of the family are merged, so an entry is rewritten log2(batches) times;
 a level counts a suffix. A scan of the sorted family tells the suffixes that occur once from those that
 occur again. A stretch found twice is repeated as a whole. Where a suffix has
 several different stretches, and only there, their windows are compared; of a
-stretch found often one copy takes part. A stretch sends the hashes of its
-windows as one array; a suffix with very many stretches is cut by the value of
-the hash, so equal windows still meet and no task holds more than a bounded
-part. Groups of copies, however large, are counted, never gathered.
+stretch found often one copy takes part. A stretch sends its bytes, which take
+less room than the hashes of its windows; a suffix with very many stretches is
+cut by the value of those hashes, which are then sent, so equal windows still
+meet and no task holds more than a bounded part. Groups of copies, however large, are counted, never gathered.
 
 Matches do not cross documents; all occurrences count, also in the same row's
 text and overlapping. Rows are told apart by id and text hash and counted, so
@@ -44,6 +44,7 @@ PLACE_BITS = 20
 TAG_BITS, RUN_BITS = 24, 8  # a run is its first window, its number of windows, and a tag of the text
 TOGETHER = 2048  # stretches of one suffix that are compared in one group
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * _ODD[0])  # a hash of each byte value
 
 
 def group_hashes(part: bytes) -> np.ndarray:
@@ -138,9 +139,8 @@ def _merged(tables: Sequence[DataFrame]) -> DataFrame:
 
 
 def _windows(batches, length):
-    """For each wanted stretch the hashes of its windows and their places, cut by hash into the parts its suffix has."""
-    names = ("anchor", "part", "id", "tag", "weight", "first", "places", "hashes")
-    table = mix(np.arange(1, 257, dtype=np.uint64) * _ODD[0])
+    """Each wanted stretch as its bytes; where its suffix has several parts, as the hashes and places of its windows for each part."""
+    names = ("anchor", "part", "id", "tag", "weight", "first", "places", "data")
     for batch in batches:
         ids, tags = values(batch, "id"), values(batch, "tag")
         lists = [values(batch, c) for c in ("anchors", "runs", "partss", "weights")]
@@ -148,13 +148,14 @@ def _windows(batches, length):
         for k, text in enumerate(utf8(batch, "text")):
             for anchor, run, parts, weight in sorted(set(zip(*(column[k] for column in lists)))):
                 first, n = run >> TAG_BITS + RUN_BITS, run >> TAG_BITS & (1 << RUN_BITS) - 1
-                hashes = window_hashes(text[first : first + n + length - 1], length, table)
+                part = text[first : first + n + length - 1]
                 if parts == 1:
-                    rows.append((anchor, 0, ids[k], tags[k], weight, first, None, hashes.tobytes()))
+                    rows.append((anchor, 0, ids[k], tags[k], weight, first, None, part))
                 else:
-                    part = (hashes % np.uint64(parts)).astype(np.int64)
-                    for p in np.unique(part).tolist():
-                        here = np.flatnonzero(part == p)
+                    hashes = window_hashes(part, length)
+                    dealt = (hashes % np.uint64(parts)).astype(np.int64)
+                    for p in np.unique(dealt).tolist():
+                        here = np.flatnonzero(dealt == p)
                         rows.append((anchor, p, ids[k], tags[k], weight, first, here.astype("<i4").tobytes(), hashes[here].tobytes()))
                 held += n
             if held > 200_000:
@@ -171,11 +172,24 @@ def _compare(batches, length):
     """
     held, windows, last = [], 0, None
 
+    def hashes_and_places():
+        """For the held rows, bytes first: the window hashes, their places, and their numbers in each row."""
+        joined = b"".join(r[5] for r in held if r[4] is None)
+        sizes = np.array([len(r[5]) for r in held if r[4] is None], dtype=np.int64)
+        counts = sizes - length + 1
+        within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        hashes = [window_hashes(joined, length)[np.repeat(np.cumsum(sizes) - sizes, counts) + within]] if joined else []
+        places = [within]
+        cut = [r for r in held if r[4] is not None]
+        hashes += [np.frombuffer(r[5], np.uint64) for r in cut]
+        places += [np.frombuffer(r[4], "<i4") for r in cut]
+        counts = np.concatenate([counts, [len(r[5]) // 8 for r in cut]]).astype(np.int64)
+        return np.concatenate(hashes), np.concatenate(places).astype(np.int64), counts
+
     def ranges():
-        hashes = np.frombuffer(b"".join(r[5] for r in held), np.uint64)
-        sizes = np.array([len(r[5]) // 8 for r in held])
-        places = [r[3] + (np.arange(k) if r[4] is None else np.frombuffer(r[4], "<i4")) for r, k in zip(held, sizes.tolist())]
-        places = np.concatenate(places).astype(np.int64)
+        held.sort(key=lambda r: r[4] is not None)
+        hashes, places, sizes = hashes_and_places()
+        places += np.repeat(np.array([r[3] for r in held], dtype=np.int64), sizes)
         weight = np.repeat(np.array([r[2] for r in held]), sizes)
         row = np.repeat(np.arange(len(held)), sizes)
         _, at = np.unique(hashes, return_inverse=True)
@@ -191,7 +205,7 @@ def _compare(batches, length):
         }
 
     for batch in batches:
-        for anchor, part, *row in zip(*(values(batch, c) for c in ("anchor", "part", "id", "tag", "weight", "first", "places", "hashes"))):
+        for anchor, part, *row in zip(*(values(batch, c) for c in ("anchor", "part", "id", "tag", "weight", "first", "places", "data"))):
             if (anchor, part) != last:
                 if windows > 500_000:
                     if (found := ranges()) is not None:
@@ -199,23 +213,22 @@ def _compare(batches, length):
                     held, windows = [], 0
                 last = (anchor, part)
             held.append(row)
-            windows += len(row[5]) // 8
+            windows += len(row[5]) - length + 1 if row[4] is None else len(row[5]) // 8
     if held and (found := ranges()) is not None:
         yield found
 
 
-def window_hashes(part: bytes, length: int, table: np.ndarray) -> np.ndarray:
+def window_hashes(part: bytes, length: int) -> np.ndarray:
     """A hash of every window, from polynomial prefix sums over hashed bytes."""
     data = np.frombuffer(part, np.uint8)
-    n = len(data) - length + 1
-    power, inverse = _powers(len(data))
+    power, inverse = (column[: len(data)] for column in _powers(1 << (len(data) - 1).bit_length()))
     with np.errstate(over="ignore"):
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(table[data] * power)])
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * power)])
         # A window's sum carries the power of its start, which the inverse takes out.
-        return mix((sums[length:] - sums[:-length]) * inverse[:n])
+        return mix((sums[length:] - sums[:-length]) * inverse[: len(data) - length + 1])
 
 
-@lru_cache(maxsize=64)
+@lru_cache(maxsize=4)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = np.uint64(pow(int(_ODD[0]), -1, 1 << 64))
     with np.errstate(over="ignore"):
@@ -252,7 +265,7 @@ def repeated_ranges(docs: DataFrame, length: int = 200, batches: int = 2, passes
         "id", tag_of("run", TAG_BITS), first.alias("start"), (n + length - 1).alias("size")
     )
     compared = marked.df.filter("parts is not null").select("id", tag_of("run", TAG_BITS), "anchor", "run", "parts", "weight")
-    schema = "anchor long, part int, id long, tag int, weight int, first int, places binary, hashes binary"
+    schema = "anchor long, part int, id long, tag int, weight int, first int, places binary, data binary"
     hits = []
     for k in range(passes):  # a share of the suffixes at a time, so that the hashes of all windows are never on disk together
         share = compared.filter(F.pmod("anchor", F.lit(passes)) == k).groupBy("id", "tag")

@@ -139,6 +139,16 @@ def test_suffix(case):
     assert got == dict(zip([d for d, _ in rows], brute.suffix(rows)))
 
 
+def test_suffix_with_many_stretches(spark, monkeypatch):
+    """Suffixes with more stretches than are compared together are cut into parts by the hash of a window."""
+    monkeypatch.setattr(suffix, "TOGETHER", 2)
+    rows = [(i, f"{i * 7919:05d}" * (i % 9) + PASSAGE[i : 260 + 7 * i] + f"{i * 104729:07d}" * (i % 7)) for i in range(24)]
+    rows += [(100, rows[3][1]), (101, rows[3][1] + "end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix.without_repeated_bytes(df).collect()}
+    assert got == dict(zip([d for d, _ in rows], brute.suffix(rows)))
+
+
 def test_quality(case):
     df, rows = case
     got = {r.doc_id: r for r in quality.quality_rules(df).collect()}

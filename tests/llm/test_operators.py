@@ -221,3 +221,34 @@ def test_pipeline_stages(spark, docs):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_duplicates", "secrets", "mixing", "packing"]
     rows = corpus_pipeline.run(spark, SF)
     assert rows.count() > 0 and json.loads(rows.schema.json())["fields"][0]["name"] == "doc_id"
+
+
+def _near_copies(spark):
+    """Groups of texts whose sets of shingles are about 0.8 alike, some a little more and some a little less; the texts
+    of a group share a long passage with those of the other groups."""
+    import random
+
+    rng, texts = random.Random(5), []
+    shared = [f"shared{k}" for k in range(30)]
+    for group in range(60):
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([8, 9, 30, 60, 200]))]
+        for _ in range(6):
+            copy = list(base)
+            for _ in range(rng.choice([1, 1, max(1, len(base) // 50), max(1, len(base) // 40)])):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(5000)}"
+            texts.append(copy + (shared if group % 3 == 0 else []))
+    rng.shuffle(texts)
+    return list(enumerate(" ".join(t) for t in texts))
+
+
+def _kept_by_all_pairs(rows, similarity=0.8):
+    sets = {d: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for d, w in ((d, t.split()) for d, t in rows)}
+    alike = lambda a, b: len(a & b) >= similarity * len(a | b)
+    pairs = [(d, e) for d, _ in rows for e, _ in rows if d < e and alike(sets[d], sets[e])]
+    return {d for d, _ in rows} - {max(d, e) for d, e in pairs} - {d for d, root in brute.components(pairs).items() if d != root}
+
+
+def test_near_duplicates_equal_all_pairs(spark):
+    rows = _near_copies(spark)
+    got = {r.doc_id for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == _kept_by_all_pairs(rows)

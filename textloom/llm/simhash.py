@@ -20,6 +20,7 @@ component unless all are null. Columns other than those named are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from itertools import combinations
 
@@ -27,24 +28,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import Stored, components, discard, map_batches, utf8, values
+from textloom.llm.common import ROWS_PER_OUTPUT, Stored, components, discard, map_batches, utf8, values
 
 SEED = 42
 HALVES = tuple(combinations(range(4), 3)) + tuple(combinations(range(4, 8), 3))
 """Five of eight positions put three in one half, so these eight triples miss no pair within three bits."""
 
 
-def spread_triples(n_bytes: int, n: int) -> tuple[tuple[int, int, int], ...]:
-    """`n` triples of positions that use every position about as often, in a fixed order."""
-    rng = np.random.default_rng(n_bytes)
-    found: dict[tuple[int, int, int], None] = {}
-    while len(found) < n:
-        order = rng.permutation(n_bytes)
-        for i in range(0, n_bytes - 2, 3):
-            found[tuple(sorted(int(x) for x in order[i : i + 3]))] = None
-    return tuple(found)[:n]
-
-
 def shingle_hashes(text: bytes, size: int) -> np.ndarray:
     """XXH64 of every `size`-word shingle of the text, repeats included."""
     import xxhash
@@ -126,41 +116,59 @@ def near_edges(
     """Edges `(a, b)` of a spanning forest of all pairs of `nodes(node, fp)` that meet in a posting and differ in at
     most `most_bits` bits. An edge may come from several postings."""
     posted = map_batches(nodes.select("node", "fp"), _postings, "key long, node long", triples=tuple(triples))
+    least = max(3, n_bytes - most_bits)
+    return map_batches(meetings(posted, nodes.select("node", "fp"), block), _forests, "a long, b long", n_bytes=n_bytes, most_bits=most_bits, least=least)
+
+
+def meetings(posted: DataFrame, nodes: DataFrame, block: int = 2048) -> DataFrame:
+    """The rows of `nodes(node, fp, ...)` by the postings `posted(key, node)` of two nodes or more, with the blocks
+    `(i, j)` of the posting: each run of equal `(key, i, j)` is in one partition, and any two nodes of a posting meet."""
     sizes = posted.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     sizes = sizes.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     met = posted.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node")
-    groups = met.join(nodes.select("node", "fp"), "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-    least = max(3, n_bytes - most_bits)
-    return map_batches(groups, _forests, "a long, b long", n_bytes=n_bytes, most_bits=most_bits, least=least)
+    return met.join(nodes, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
 
 
-def _forests(batches, n_bytes, most_bits, least):
-    """Forest edges of each run of rows with the same (key, i, j); a run may go on in the next batch."""
-    nodes, fps, held = [], [], None
-    a, b = [], []
+def _forests(batches, n_bytes, most_bits, least, rooted=False):
+    """Forest edges of each run of rows with the same (key, i, j), or with `rooted` all pairs between different roots;
+    a run may go on in the next batch."""
+    names = ("key", "i", "j", "node", "fp", "root" if rooted else "node")
+    nodes, fps, roots, held = [], [], [], None
+    out = {name: [] for name in ("key", "i", "j", "a", "b")}
 
     def close():
         if len(nodes) > 1:
             packed = np.frombuffer(b"".join(fps), np.uint8).reshape(-1, n_bytes)
-            for x, y in forest(packed, most_bits, least):
-                a.append(nodes[x])
-                b.append(nodes[y])
+            found = crossing(packed, np.array(roots), most_bits) if rooted else forest(packed, most_bits, least)
+            for x, y in found:
+                for name, value in zip(out, (*held, nodes[x], nodes[y])):
+                    out[name].append(value)
+                if len(out["a"]) == ROWS_PER_OUTPUT:
+                    yield dict(out)
+                    out.update({name: [] for name in out})
 
     for batch in batches:
-        for key, i, j, node, fp in zip(*(values(batch, c) for c in ("key", "i", "j", "node", "fp"))):
+        for key, i, j, node, fp, root in zip(*(values(batch, c) for c in names)):
             if (key, i, j) != held:
-                close()
-                nodes, fps, held = [], [], (key, i, j)
+                yield from close()
+                nodes, fps, roots, held = [], [], [], (key, i, j)
             nodes.append(node)
             fps.append(fp)
-        if a:
-            yield {"a": a, "b": b}
-            a, b = [], []
-    close()
-    if a:
-        yield {"a": a, "b": b}
+            roots.append(root)
+    yield from close()
+    if out["a"]:
+        yield out
+
+
+def crossing(packed: np.ndarray, roots: np.ndarray, most_bits: int) -> Iterator[tuple[int, int]]:
+    """All pairs of rows of `packed` with different roots that differ in at most `most_bits` bits."""
+    for k in range(len(packed) - 1):
+        rest = k + 1 + np.flatnonzero(roots[k + 1 :] != roots[k])
+        bits = np.bitwise_count(packed[rest] ^ packed[k]).sum(axis=1, dtype=np.int32)
+        for x in rest[bits <= most_bits].tolist():
+            yield k, x
 
 
 def forest(packed: np.ndarray, most_bits: int, least: int) -> Iterator[tuple[int, int]]:
@@ -210,36 +218,52 @@ def simhash_classes(docs: DataFrame, shingle: int = 3, most_bits: int = 3) -> Da
     )
 
 
-def drop_near_duplicates(
-    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, words: int = 6, postings: int = 96
-) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, words: int = 6) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id (null last).
 
     Groups are connected by pairs whose sets of `shingle`-word shingles have a
-    Jaccard similarity of `similarity` or more. At that similarity 64 bits say
-    too little, so fingerprints have `words` x 64 bits over the sets, and the
-    candidates of `postings` triples are pairs up to two standard deviations
-    beyond the bits expected; each pair of the forest is then verified on the
-    texts themselves. Columns are those of `docs`.
+    Jaccard similarity of `similarity` or more. Any such pair shares one of the
+    first shingles of both sets in a fixed order (`prefix`), so postings by
+    these miss no pair. Fingerprints of `words` x 64 bits over the sets say
+    which pairs of a posting are looked at: those up to five standard deviations
+    beyond the bits expected. The forest of a posting is verified on the texts;
+    where an edge fails, all its pairs that are not connected yet are verified
+    as well. Columns are those of `docs`.
     """
     n_bytes = 8 * words
-    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    most_bits = int(8 * n_bytes * share + 2 * np.sqrt(8 * n_bytes * share * (1 - share)))
+    # Sets of four and five shingles that share four differ in 3/16 of the bits: small sums are often even.
+    share = max(np.arccos(2 * similarity / (1 + similarity)) / np.pi, 3 / 16)
+    most_bits = int(8 * n_bytes * share + 5 * np.sqrt(8 * n_bytes * share * (1 - share)))
     kept = Stored(docs.select(F.monotonically_increasing_id().alias("__uid"), *docs.columns), "documents")
     rows = kept.df.select(F.col("__uid").alias("uid"), "doc_id", "text")
-    prints = Stored(fingerprints(rows, shingle, words, distinct=True), "fingerprints")
+    prints = map_batches(
+        rows.select("uid", F.col("doc_id").cast("long").alias("doc_id"), "text"), _prefixed,
+        "uid long, doc_id long, fp binary, prefix array<long>",
+        shingle=shingle, words=words, similarity=similarity, common=common_shingles(rows, shingle),
+    )
+    prints = Stored(prints, "fingerprints")
     nodes = Stored(prints.df.groupBy("fp").agg(F.min("uid").alias("node")), "nodes")
-    near = near_edges(nodes.df, spread_triples(n_bytes, postings), n_bytes, most_bits)
-    near = Stored(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
-    ends = near.df.select(F.col("a").alias("uid"), "a", "b").unionByName(near.df.select(F.col("b").alias("uid"), "a", "b"))
-    sets = map_batches(rows.join(ends, "uid").select("a", "b", "text"), _shingle_sets, "a long, b long, set array<long>", shingle=shingle)
-    # Two rows for each edge: its two sets. Their sizes are those of the two texts.
-    pairs = sets.groupBy("a", "b").agg(F.collect_list("set").alias("sets"))
-    both = F.size(F.array_intersect(F.get("sets", F.lit(0)), F.get("sets", F.lit(1))))
-    either = F.size(F.get("sets", F.lit(0))) + F.size(F.get("sets", F.lit(1))) - both
-    edges = Stored(pairs.filter(both >= similarity * either).select("a", "b"), "edges")
+    heads = prints.df.select(F.col("uid").alias("node"), "prefix").join(nodes.df.select("node"), "node")
+    posted = Stored(heads.select("node", F.explode("prefix").alias("key")), "postings")
+    form = {"n_bytes": n_bytes, "most_bits": most_bits, "least": 0}
+    edge = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    tree = map_batches(meetings(posted.df, nodes.df), _forests, "key long, i int, j int, a long, b long", **form)
+    tree = Stored(tree.select("key", "i", "j", *edge), "candidates")
+    edges = Stored(_verified(rows, tree.df.select("a", "b").distinct(), shingle, similarity), "edges")
     linked = components(edges.df)
-    discard(near, edges)
+    open_groups = Stored(tree.df.join(edges.df, ["a", "b"], "left_anti").select("key", "i", "j").distinct(), "groups")
+    if not open_groups.df.isEmpty():
+        rooted = nodes.df.join(linked.df, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        again = posted.df.join(open_groups.df.select("key").distinct(), "key", "left_semi")
+        met = meetings(again, rooted).join(open_groups.df, ["key", "i", "j"], "left_semi")
+        met = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+        more = map_batches(met, _forests, "a long, b long", rooted=True, **form).select(*edge).distinct()
+        more = more.join(tree.df.select("a", "b").distinct(), ["a", "b"], "left_anti")
+        more = Stored(_verified(rows, more, shingle, similarity), "edges")
+        discard(linked)
+        linked = components(edges.df.unionByName(more.df))
+        discard(more)
+    discard(tree, edges, open_groups, posted)
     # Every row has a place in its group: equal fingerprints are one node, nodes are joined by edges.
     rooted = nodes.df.join(linked.df, "node", "left").select("fp", F.coalesce("root", "node").alias("root"))
     members = prints.df.join(rooted, "fp").select("root", "uid", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"))
@@ -248,6 +272,64 @@ def drop_near_duplicates(
     return kept.df.join(first.select("__uid"), "__uid", "left_semi").select(*docs.columns)
 
 
+def _verified(rows: DataFrame, near: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs of `near(a, b)` whose texts have the similarity; pairs are unique."""
+    near = Stored(near, "pairs")
+    ends = near.df.select(F.col("a").alias("uid"), "a", "b").unionByName(near.df.select(F.col("b").alias("uid"), "a", "b"))
+    sets = map_batches(rows.join(ends, "uid").select("a", "b", "text"), _shingle_sets, "a long, b long, set array<long>", shingle=shingle)
+    # Two rows for each edge: its two sets. Their sizes are those of the two texts.
+    pairs = sets.groupBy("a", "b").agg(F.collect_list("set").alias("sets"))
+    both = F.size(F.array_intersect(F.get("sets", F.lit(0)), F.get("sets", F.lit(1))))
+    either = F.size(F.get("sets", F.lit(0))) + F.size(F.get("sets", F.lit(1))) - both
+    return pairs.filter(both >= similarity * either).select("a", "b")
+
+
+def common_shingles(rows: DataFrame, shingle: int, sample: int = 20_000, most: int = 200_000) -> np.ndarray:
+    """Shingles of several texts of a bounded sample of `rows(uid, text)`, the commonest last. They only order the
+    shingles, so that postings are short; any list gives the same pairs."""
+    share = min(1.0, sample / max(1, rows.count()))
+    some = rows.filter(F.pmod(F.xxhash64("uid"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    found = map_batches(some.select("text"), _each_shingle, "key long", shingle=shingle)
+    found = found.groupBy("key").agg(F.count("*").alias("n")).filter("n > 2")
+    top = found.orderBy(F.desc("n"), "key").limit(most).select("key").collect()
+    return np.array([r.key for r in top][::-1], dtype=np.int64)
+
+
+def _each_shingle(batches, shingle):
+    for batch in batches:
+        for text in utf8(batch, "text"):
+            yield {"key": np.unique(shingle_hashes(text or b"", shingle)).view(np.int64)}
+
+
+def prefix(hashes: np.ndarray, ranks: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The first shingles of a set, the rare ones first: two sets of the similarity or more share one of them at least,
+    as a set of n has `similarity` x n or more in common with the other."""
+    if not len(hashes):
+        return hashes
+    keys, places = ranks
+    rank = np.full(len(hashes), -1)
+    if len(keys):
+        at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+        rank = np.where(keys[at] == hashes, places[at], -1)
+    return hashes[np.lexsort((hashes, rank))[: len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1]]
+
+
+def _prefixed(batches, shingle, words, similarity, common):
+    order = np.argsort(common)
+    ranks = (common[order], order)
+    for batch in batches:
+        rows, held = [], 0
+        for uid, doc_id, text in zip(values(batch, "uid"), values(batch, "doc_id"), utf8(batch, "text")):
+            hashes = np.unique(shingle_hashes(text or b"", shingle))
+            rows.append((uid, doc_id, fingerprint(hashes, words), prefix(hashes.view(np.int64), ranks, similarity)))
+            held += len(rows[-1][-1])
+            if held > 1 << 20:
+                yield dict(zip(("uid", "doc_id", "fp", "prefix"), zip(*rows)))
+                rows, held = [], 0
+        if rows:
+            yield dict(zip(("uid", "doc_id", "fp", "prefix"), zip(*rows)))
+
+
 def _shingle_sets(batches, shingle):
     for batch in batches:
         a, b = values(batch, "a"), values(batch, "b")

@@ -252,3 +252,18 @@ def test_near_duplicates_equal_all_pairs(spark):
     rows = _near_copies(spark)
     got = {r.doc_id for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == _kept_by_all_pairs(rows)
+
+
+def test_added_tokens_keep_their_ids(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_path())
+    rows = [(0, "a b. c"), (1, "a <|endoftext|> b"), (2, "x<|endoftext|>\ny, a b."), (3, "<|endoftext|>"), (4, "<|endoftext| b")]
+    want = {d: brute.token_ids(plain, t) for d, t in rows}
+    assert want[1][:4] == [64, 220, 50256, 275]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    files = tokenfile.write_token_files(df, new_path(spark, "tokens"), tokenizer_path(), 2, frame_ids=500)
+    read = tokenfile.with_starts(tokenfile.read_token_files(spark, files.df), files.df)
+    assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in read.collect()} == {d: (len(i), brute.crc(i)) for d, i in want.items()}
+    placed = packing.best_fit_sequences(df, tokenizer_path(), capacity=64).collect()
+    assert {r.doc_id: (r.length, r.ids_crc32) for r in placed} == {d: (len(i), brute.crc(i)) for d, i in want.items()}

@@ -14,15 +14,15 @@ _PLAIN_ENDS = (".", ",")
 
 @lru_cache(maxsize=2)
 def _loaded(path: str):
-    """The tokenizer, once for each worker process, and which of its tokens start with a space."""
+    """The tokenizer, once for each worker process, which of its tokens start with a space, and its added tokens."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
     vocabulary = tokenizer.get_vocab()
     starts = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
     starts[[k for piece, k in vocabulary.items() if piece[0] == "\u0120"]] = True
-    return tokenizer, starts
+    added = tuple(token.content for token in tokenizer.get_added_tokens_decoder().values())
+    return tokenizer, starts, added
 
 
 class PieceEncoder:
@@ -33,14 +33,16 @@ class PieceEncoder:
     pieces encoded on their own; the ids joined are the ids of the whole text. A
     text with any other white space between pieces is encoded as a whole. A
     letter and a full stop or comma after it are never in one token either, so
-    only the word before is looked up.
+    only the word before is looked up. A text that holds the string of an added
+    token, such as `<|endoftext|>`, is encoded as a whole too, with that token's id.
 
     Words repeat, so most pieces are found in memory. It is emptied before it
     would hold more than `most` pieces; make one encoder for each task.
     """
 
     def __init__(self, path: str, most: int = 1_500_000):
-        self.tokenizer, self.starts_word = _loaded(path)
+        self.tokenizer, self.starts_word, self.added = _loaded(path)
+        self.blank_added = any(c.isspace() for token in self.added for c in token)
         self.most = most
         self.known: dict[str, bytes | None] = {}
 
@@ -52,7 +54,8 @@ class PieceEncoder:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         for at in range(0, len(texts), TOGETHER):
             group = texts[at : at + TOGETHER]
-            cut = [text.replace("\n", " \n").split(" ") for text in group]
+            whole = [self.blank_added or any(token in text for token in self.added) for text in group]
+            cut = [[""] if alone else text.replace("\n", " \n").split(" ") for text, alone in zip(group, whole)]
             firsts = [parts.pop(0) for parts in cut]
             found = [list(map(self.known.get, parts)) for parts in cut]
             gaps = [[i for i, ids in enumerate(row) if ids is None] for row in found]

@@ -267,3 +267,22 @@ def test_added_tokens_keep_their_ids(spark):
     assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in read.collect()} == {d: (len(i), brute.crc(i)) for d, i in want.items()}
     placed = packing.best_fit_sequences(df, tokenizer_path(), capacity=64).collect()
     assert {r.doc_id: (r.length, r.ids_crc32) for r in placed} == {d: (len(i), brute.crc(i)) for d, i in want.items()}
+
+
+@pytest.mark.parametrize("groups, radius, hot", [(20, 0.02, 0), (20, 0.3, 0), (1, 0.05, 0.34)])
+def test_neighbours_in_dense_groups(spark, groups, radius, hot):
+    import numpy as np
+
+    rng, n = np.random.default_rng(1), 6000
+    centres = rng.normal(size=(groups, 64))
+    vectors = centres[rng.integers(0, groups, n)] + radius * rng.normal(size=(n, 64))
+    if hot:
+        vectors[rng.random(n) >= hot] = 0
+        vectors += (vectors == 0).all(axis=1)[:, None] * rng.normal(size=(n, 64))
+    table = spark.createDataFrame(list(enumerate(vectors.tolist())), "id long, vec array<double>").repartition(8).cache()
+    got = {(r.query_id, r.vec_id) for r in neighbours.nearest(table, table.filter("id < 200"), k=10).collect()}
+    away = ((vectors[:200, None] - vectors[None]) ** 2).sum(axis=2)
+    away[np.arange(200), np.arange(200)] = np.inf
+    want = {(i, int(j)) for i, row in enumerate(away) for j in np.argsort(row)[:10]}
+    print("recall", len(got & want) / len(want))
+    assert len(got & want) >= 0.95 * len(want)

@@ -2,16 +2,16 @@
 
 A vector is represented by the order of the pivots by distance. It is posted in
 the inverted files of its `post` nearest pivots; a query reads the files of its
-`probe` nearest. In each file vectors are ranked by the footrule distance of
-the two orders, and the best `share` of the file is reranked by the Euclidean
-distance in double precision. A pair met in several files is looked at in the
-first of them only. Files are cut into blocks by a hash of the id, queries
+`probe` nearest. Every vector of a file read is ranked by the Euclidean distance
+in double precision: in a dense group the orders of pivots hardly differ, so a
+cut by them would drop near vectors. A pair met in several files is looked at in
+the first of them only. Files are cut into blocks by a hash of the id, queries
 too, so a pivot with a third of all vectors is many bounded groups.
 
 The pivots are a bounded sample, `pivots` vectors with the smallest hashes of
 their ids; every vector is indexed. A query that finds fewer than `k` in its
-files, though there are more candidates, is run again over all files without
-ranking first, which is exact.
+files, though there are more candidates, is run again over all files, which is
+exact.
 
 Vectors that are null, zero, or hold null or non-finite components take no
 part, nor do rows without an id or of another length than most pivots. Repeated
@@ -71,7 +71,7 @@ def _index(batches, pivots, files):
 
 def nearest(
     vectors: DataFrame, queries: DataFrame, k: int = 10, pivots: int = 64, post: int = 2, probe: int = 32,
-    share: float = 0.35, block: int = 4096,
+    block: int = 4096,
 ) -> DataFrame:
     """`(query_id, rank, vec_id, score)`: for each `queries(id, vec)` its `k` nearest of `vectors(id, vec)` but itself."""
     if pivots > 255:
@@ -85,13 +85,13 @@ def nearest(
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     indexed = Stored(map_batches(vectors, _index, INDEXED, pivots=chosen, files=min(post, len(chosen))), "index")
     sizes = {r.pivot: r.n for r in indexed.df.groupBy("pivot").agg(F.count("*").alias("n")).collect()}  # one row a pivot
-    found = Stored(_search(indexed, queries, chosen, sizes, k, post, probe, share, block), "found")
+    found = Stored(_search(indexed, queries, chosen, sizes, k, post, probe, block), "found")
     best = _best(found.df, k)
     n = sum(sizes.values()) // min(post, len(chosen))
     counts = best.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= min(k, n - 1))
     short = queries.join(counts, queries.id == counts.query_id, "left_anti")
     if n > 1 and not short.isEmpty():
-        again = _search(indexed, short, chosen, sizes, k, post, len(chosen), 1.0, block)
+        again = _search(indexed, short, chosen, sizes, k, post, len(chosen), block)
         whole = found.df.join(counts.select("query_id"), "query_id", "left_semi")
         best = _best(whole.unionByName(again), k)
     return best
@@ -103,7 +103,7 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _search(indexed, queries, chosen, sizes, k, post, probe, share, block):
+def _search(indexed, queries, chosen, sizes, k, post, probe, block):
     probes = map_batches(queries, _index, INDEXED, pivots=chosen, files=min(probe, len(chosen)))
     asked = {r.pivot: r.n for r in probes.groupBy("pivot").agg(F.count("*").alias("n")).collect()}  # one row a pivot
 
@@ -120,32 +120,37 @@ def _search(indexed, queries, chosen, sizes, k, post, probe, share, block):
     keys = ["pivot", "list_block", "query_block"]
     return (
         listed.groupBy(*keys).cogroup(asking.groupBy(*keys))
-        .applyInPandas(_ranker(k, post, probe, share), FOUND)
+        .applyInPandas(_ranker(k, post, probe), FOUND)
     )
 
 
-def _ranker(k: int, post: int, probe: int, share: float):
+def _ranker(k: int, post: int, probe: int):
     def rank(listed: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(listed) and len(asking):
             listed = listed.sort_values("id", kind="stable")
-            ids = listed["id"].to_numpy()
-            places = np.frombuffer(b"".join(listed["places"]), np.uint8).reshape(len(ids), -1).astype(np.int16)
-            vectors = np.frombuffer(b"".join(listed["vec"]), np.float64).reshape(len(ids), -1)
+            ids, query_ids = listed["id"].to_numpy(), asking["id"].to_numpy()
+            places, own = (np.frombuffer(b"".join(df["places"]), np.uint8).reshape(len(df), -1) for df in (listed, asking))
+            vectors, queries = (np.frombuffer(b"".join(df["vec"]), np.float64).reshape(len(df), -1) for df in (listed, asking))
             pivot = int(listed["pivot"].iloc[0])
-            earlier = (places[:, :pivot] < post).astype(np.float32)
-            for query_id, own, vector in zip(asking["id"], asking["places"], asking["vec"]):
-                own = np.frombuffer(own, np.uint8).astype(np.int16)
-                met = earlier @ (own[:pivot] < probe).astype(np.float32) > 0
-                here = np.flatnonzero(~met & (ids != query_id))
-                if share < 1 and len(here) > 4 * k:
-                    footrule = np.abs(places[here] - own).sum(axis=1)
-                    most = max(4 * k, math.ceil(share * len(here)))
-                    here = here[np.argsort(footrule, kind="stable")[:most]]
-                away = vectors[here] - np.frombuffer(vector, np.float64)
-                score = np.sqrt((away * away).sum(axis=1))
-                for i in np.lexsort((ids[here], score))[:k]:
-                    found.append((query_id, ids[here[i]], score[i]))
+            earlier = (places[:, :pivot] < post).astype(np.float32).T
+            with np.errstate(over="ignore", invalid="ignore"):
+                squares = (vectors * vectors).sum(axis=1)
+                for at in range(0, len(queries), 256):
+                    part = slice(at, at + 256)
+                    asked = (queries[part] * queries[part]).sum(axis=1)
+                    rough = squares + asked[:, None] - 2 * (queries[part] @ vectors.T)
+                    away = ((own[part, :pivot] < probe).astype(np.float32) @ earlier > 0) | (query_ids[part, None] == ids)
+                    slack = 1e-10 * (squares.max() + asked)  # far above the rounding of `rough`
+                    for row, (near, out, most) in enumerate(zip(rough, away, slack), at):
+                        here = np.flatnonzero(~out)
+                        if len(here) > k and np.isfinite(most):
+                            near = near[here]
+                            here = here[near <= np.partition(near, k - 1)[k - 1] + most]
+                        apart = vectors[here] - queries[row]
+                        score = np.sqrt((apart * apart).sum(axis=1))
+                        for i in np.lexsort((ids[here], score))[:k]:
+                            found.append((query_ids[row], ids[here[i]], score[i]))
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
     return rank

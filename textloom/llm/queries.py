@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import alignment, manifest, mixing, neighbours, packing, quality, secret_scan, simhash, substring, suffix, tokenfile, toxicity
+from textloom.llm import alignment, manifest, mixing, neighbours, packing, quality, quality_model, secret_scan, simhash, substring, suffix, tokenfile, toxicity
 from textloom.llm.common import word_count
 
 FILE_BYTES = 128 << 20  # of text, for each token file
@@ -101,6 +101,11 @@ def op10_token_files(spark, folder):
 
 
 
+@query
+def op11_quality_rules(spark, folder):
+    return quality_model.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op12_alignment(spark, folder):
     found = alignment.align(table(spark, folder, "documents"), tokenizer_path(), piece_model_path())

@@ -90,7 +90,6 @@ def tokenizer():
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(tokenizer_path())
-    found.encode_special_tokens = True
     return found
 
 

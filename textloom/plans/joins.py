@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from textloom.functions.text import words
-from textloom.operators import joins
+from textloom.operators import joins, neighbours
 from textloom.operators.prompts import preference_pairs, turn_pairs
 from textloom.plans import fixtures as fx
 from textloom.plans import sqltext as q
@@ -113,6 +113,37 @@ def query_similarity(t):
     return joins.similarity_to(t.embeddings, "embedding", first).select("vec_id", r("cosine").alias("cosine"))
 
 
+def _neighbours_sql(queries: str) -> str:
+    return f"""
+    WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+    s AS (SELECT a.vec_id, b.vec_id AS neighbour, list_cosine_similarity(a.v, b.v) AS cosine
+          FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE {queries})
+    SELECT vec_id, rank, neighbour, {q.r('cosine')} AS cosine FROM (
+      SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(cosine, 9) DESC, neighbour)::INTEGER AS rank FROM s) WHERE rank <= 5
+    """
+
+
+def _vectors(t):
+    return t.embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+
+
+def _neighbour_rows(found):
+    return found.select(F.col("id").alias("vec_id"), "rank", "neighbour", r("cosine").alias("cosine"))
+
+
+@query("j8_top_neighbours", _neighbours_sql("true"))
+def top_neighbours(t):
+    """Every row's five nearest; a table that fits one leaf is compared whole, so the SQL gives the same rows."""
+    return _neighbour_rows(neighbours.nearest_rows(_vectors(t), 5))
+
+
+@query("j8_exact_neighbours", _neighbours_sql("a.vec_id % 20 = 0"))
+def exact_neighbours(t):
+    """A stated query set, every twentieth id, against all rows in blocks."""
+    rows = _vectors(t)
+    return _neighbour_rows(neighbours.nearest_exact(rows.filter(F.col("id") % 20 == 0), rows, 5))
+
+
 @query(
     "j9_scored_join",
     f"""SELECT p_partkey, {q.r('100 * jaro_winkler_similarity(p_name, listed)', 4)} AS jaro_winkler,

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from textloom.functions.text import words
-from textloom.operators import joins, neighbours
+from textloom.operators import fuzzyjoin, joins, neighbours
 from textloom.operators.prompts import preference_pairs, turn_pairs
 from textloom.plans import fixtures as fx
 from textloom.plans import sqltext as q
@@ -157,6 +157,28 @@ def scored_join(t):
     return scored.select("p_partkey", r("jaro_winkler", 4).alias("jaro_winkler"), F.col("distance").cast("string").alias("distance"))
 
 
+_NAMES_SQL = """WITH n AS (SELECT p_name AS value, min(p_partkey) AS id, count(*) AS n FROM part GROUP BY p_name),
+    l AS (SELECT a.id AS a, b.id AS b, a.value AS a_value, b.value AS b_value, b.n, levenshtein(a.value, b.value)::INTEGER AS distance
+          FROM n a JOIN n b ON a.id <> b.id AND levenshtein(a.value, b.value) <= 3)"""
+
+
+@query("j9_fuzzy_pairs", f"{_NAMES_SQL} SELECT a, b, a_value, b_value, distance FROM l WHERE a < b")
+def fuzzy_pairs(t):
+    """Different part names at most three edits apart; a name stands for its parts."""
+    return fuzzyjoin.fuzzy_pairs(fuzzyjoin.classes(t.part, "p_partkey", "p_name"), 3)
+
+
+@query(
+    "j9_fuzzy_join",
+    f"""{_NAMES_SQL}, s AS (SELECT a, sum(n) AS others FROM l GROUP BY a)
+    SELECT p_partkey, id AS class_id, (n - 1 + coalesce(others, 0))::BIGINT AS links
+    FROM part JOIN n ON p_name = value LEFT JOIN s ON s.a = id""",
+)
+def fuzzy_join(t):
+    """Every part with its name's class and the number of other parts whose names are at most three edits away."""
+    return fuzzyjoin.fuzzy_links(t.part, "p_partkey", "p_name", 3)
+
+
 @query(
     "j10_preference_pairs",
     f"""

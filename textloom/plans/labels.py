@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.text import space_parts, words
 from textloom.operators import labels as lb
-from textloom.operators import splits
+from textloom.operators import overlap, splits
 from textloom.plans import fixtures as fx
 from textloom.plans import sqltext as q
 from textloom.plans.registry import csv, query
@@ -164,3 +164,18 @@ def fold_leakage(t):
     """Folds drawn per row, so copies of a text do end up in several."""
     folded = splits.group_folds(t.documents, "doc_id", 5, seed=5)
     return splits.leaking_groups(folded, "text").select("text", "n")
+
+
+@query(
+    "d5_benchmark_overlap",
+    f"""WITH b AS (SELECT DISTINCT array_to_string(w[i : i + 12], ' ') AS run FROM (
+          SELECT w, unnest(generate_series(1, len(w) - 12)) AS i FROM (SELECT {q.words('text')} AS w FROM benchmark))),
+    d AS (SELECT doc_id, array_to_string(w[i : i + 12], ' ') AS run FROM (
+          SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM (SELECT doc_id, {q.words('text')} AS w FROM documents)))
+    SELECT doc_id, count(*) AS n_windows, count(b.run) AS n_found, {q.r('count(b.run) / count(*)')} AS share
+    FROM d LEFT JOIN b ON d.run = b.run GROUP BY doc_id HAVING count(b.run) > 0""",
+)
+def benchmark_overlap(t):
+    """Documents that share a run of thirteen words with a benchmark item, and how much of them does."""
+    found = overlap.text_overlap(t.documents, "doc_id", words(F.col("text")), t.benchmark, words(F.col("text")), window=13)
+    return found.withColumn("share", F.round("share", 6))

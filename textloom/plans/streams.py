@@ -64,3 +64,15 @@ def distinct_stream(t):
     return streams.distinct_stream(texts, "text", "distinct")
 
 
+@query(
+    "r4_label_counts",
+    """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS window_start, event_type, count(*) AS n
+    FROM events, (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events)
+    GROUP BY ALL HAVING date_trunc('hour', any_value(ts)) + INTERVAL 1 HOUR <= any_value(mark)""",
+)
+def label_counts(t):
+    """Events by type in hours of their own time; an hour counts once the watermark has passed it."""
+    events = streams.table_stream(t.spark, t.folder, "events")
+    timed = events.select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    counts = streams.run_available(streams.window_counts(timed, "ts", "event_type"), "windows")
+    return counts.select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"), "event_type", "n")

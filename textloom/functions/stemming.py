@@ -94,3 +94,16 @@ def stem_word(word: str) -> str:
 @F.pandas_udf(T.StringType())
 def porter_stem(words: pd.Series) -> pd.Series:
     return words.map(stem_word, na_action="ignore")
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def stem_words(lists: pd.Series) -> pd.Series:
+    """Stems of the words of each row; a batch stems each of its words once."""
+    known: dict[str, str] = {}
+
+    def stem(word):
+        if word is not None and word not in known:
+            known[word] = stem_word(word)
+        return known.get(word)
+
+    return lists.map(lambda row: [stem(word) for word in row], na_action="ignore")

@@ -128,3 +128,15 @@ def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     from textloom.sources.readers import require_columns
 
     return require_columns(df, columns).select(*columns)
+
+
+def one_shot(asked: DataFrame, key: str, prompt: str, answer: str, out: str) -> DataFrame:
+    """Add `out`: another item's prompt with its answer, then the row's own prompt.
+
+    The example is the item with the smallest key; that item itself gets the
+    second smallest. A single item has no example and stands alone.
+    """
+    first = [*asked.orderBy(key).limit(2).select(key, F.concat_ws(" ", prompt, answer).alias("t")).collect(), None, None]  # two rows
+    of_others, of_first = (F.lit(row.t if row else "") for row in first[:2])
+    shown = of_others if first[0] is None else F.when(F.col(key) == first[0][key], of_first).otherwise(of_others)
+    return asked.withColumn(out, F.concat(shown, prompt))

@@ -169,8 +169,7 @@ def entity_counts(t):
     f"""
     WITH {fx.SPANS_SQL},
     s AS (SELECT CASE WHEN {q.hash_key('doc_id', 42)} < {int(0.8 * (1 << 28))} THEN 'train' ELSE 'test' END AS split, class FROM gold)
-    SELECT split, count(*) FILTER (class = 'Claim') AS "Claim", count(*) FILTER (class = 'Evidence') AS "Evidence",
-           count(*) FILTER (class = 'Lead') AS "Lead" FROM s WHERE class IN ('Claim', 'Evidence', 'Lead') GROUP BY split
+    SELECT split, {', '.join(f"""count(*) FILTER (class = '{c}') AS "{c}" """ for c in fx.CLASSES)} FROM s GROUP BY split
     """,
 )
 def entity_per_split(t):
@@ -179,9 +178,9 @@ def entity_per_split(t):
 
     sizes = fx.doc_words(t).select("doc_id", F.size("words").alias("n_words"))
     tags = bio_tags(sizes, fx.gold_spans(t), "doc_id").filter(F.col("tag").startswith("B-"))
-    named = tags.withColumn("class", F.substring_index("tag", "-", -1)).filter(F.col("class").isin("Claim", "Evidence", "Lead"))
+    named = tags.withColumn("class", F.substring_index("tag", "-", -1))
     split = ratio_split(named, "doc_id", {"train": 0.8, "test": 0.2}, 42)
-    return split.groupBy("split").pivot("class", ["Claim", "Evidence", "Lead"]).agg(F.count("tag"))
+    return split.groupBy("split").pivot("class", fx.CLASSES).agg(F.count("tag"))
 
 
 @query(

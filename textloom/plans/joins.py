@@ -7,7 +7,7 @@ from textloom.operators import fuzzyjoin, joins, neighbours
 from textloom.operators.prompts import preference_pairs, turn_pairs
 from textloom.plans import fixtures as fx
 from textloom.plans import sqltext as q
-from textloom.plans.registry import query, r
+from textloom.plans.registry import csv, query, r
 from textloom.sources.scratch import durable
 
 
@@ -47,17 +47,22 @@ def label_lookup(t):
 @query(
     "j3_word_vectors_default",
     f"""
-    WITH {fx.WORD_VECTORS_SQL},
-    m AS (SELECT avg(vec[1]::DOUBLE) AS m1, avg(vec[64]::DOUBLE) AS m64 FROM wv)
-    SELECT v.word, vec IS NOT NULL AS known, round(coalesce(vec[1]::DOUBLE, m1), 6) AS v1,
-           round(coalesce(vec[64]::DOUBLE, m64), 6) AS v64
-    FROM vocab v LEFT JOIN wv USING (word), m
+    WITH {fx.VOCABULARY_SQL.replace('vocab AS (', 'vocab AS MATERIALIZED (')},
+    known AS MATERIALIZED (SELECT vec_id, array_to_string(list_transform(embedding, lambda x: round(x::DOUBLE * 1e6)::BIGINT), ',') AS millionths FROM embeddings),
+    place AS MATERIALIZED (SELECT word, h % (SELECT count(*) FROM embeddings) AS vec_id FROM (SELECT word, {q.hash_key('word', 7)} AS h FROM vocab) WHERE h % 10 <> 0),
+    uses AS MATERIALIZED (SELECT vec_id, count(*) AS n FROM place GROUP BY vec_id),
+    m AS MATERIALIZED (SELECT string_agg(round(mean * 1e6)::BIGINT::VARCHAR, ',' ORDER BY i) AS millionths FROM (
+           SELECT i, sum(embedding[i]::DOUBLE * n) / sum(n) AS mean FROM embeddings JOIN uses USING (vec_id), generate_series(1, 64) AS g(i) GROUP BY i))
+    SELECT v.word, p.word IS NOT NULL AS known, coalesce(k.millionths, m.millionths) AS millionths
+    FROM vocab v LEFT JOIN place p ON p.word = v.word LEFT JOIN known k ON k.vec_id = p.vec_id, m
     """,
 )
 def word_vectors_default(t):
+    """Whole vectors, as whole millionths so that engines compare them exactly."""
     vectors = durable(fx.word_vectors(t))  # a stored table as a rule; read twice here
     found = joins.vectors_with_default(fx.vocabulary(t).select("word"), vectors)
-    return found.select("word", "known", r(F.col("vec")[0]).alias("v1"), r(F.col("vec")[63]).alias("v64"))
+    parts = F.transform("vec", lambda x: F.round(x * 1e6).cast("bigint"))
+    return found.select("word", "known", csv(parts).alias("millionths"))
 
 
 @query(

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from textloom.functions import templates as tp
-from textloom.functions.text import between_markers, word_count
+from textloom.functions.text import between_markers, word_count, words
 from textloom.operators import prompts
 from textloom.plans import sqltext as q
 from textloom.plans.registry import query
@@ -188,19 +188,34 @@ def budgeted_prompt(t):
     return prompts.budgeted_prompt(t.conversations, SYSTEM, CONTEXT_WORDS, ANSWER_WORDS)
 
 
+_QUESTION = "Question: Which part opens the text?"
+
+
+def _quiz_part(i: int) -> str:
+    """The i-th quarter of the words, from 0."""
+    return f"array_to_string(w[len(w) * {i} // 4 + 1 : len(w) * {i + 1} // 4], ' ')"
+
+
 @query(
     "c12_quiz_prompt",
-    f"""WITH b AS (SELECT item_id, {q.words('text')} AS w FROM benchmark)
-    SELECT item_id, {_fill(tp.QUIZ, "'Question: Which word is first?'", "'none'", "w[1]", "w[2]", "w[3]")} AS prompt,
-           {_fill(tp.QUIZ, "'Question: Which word is first?'", "'none'", "w[1]", "w[2]", "w[3]")} || ' B' AS one_shot FROM b""",
+    f"""WITH w AS (SELECT item_id, {q.words('text')} AS w FROM benchmark),
+    o AS (SELECT item_id, item_id % 4 AS turn, [{', '.join(_quiz_part(i) for i in range(4))}] AS o FROM w),
+    p AS (SELECT item_id, {_fill(tp.QUIZ, f"'{_QUESTION}'", *[f"o[({i} - turn + 4) % 4 + 1]" for i in range(4)])} AS prompt,
+                 substr('ABCD', turn + 1, 1) AS answer FROM o),
+    e AS (SELECT prompt || ' ' || answer AS example, item_id, row_number() OVER (ORDER BY item_id) AS i FROM p)
+    SELECT p.item_id, prompt, answer, example || prompt AS one_shot FROM p JOIN e
+    ON (e.i = 1 AND e.item_id <> p.item_id) OR (e.i = 2 AND p.item_id = (SELECT min(item_id) FROM p))""",
 )
 def quiz_prompt(t):
-    from textloom.functions.text import words
-
+    """The four quarters of a text are the options; the first item, with its answer, is the example of all others, the second its own."""
     w = words(F.col("text"))
-    options = [F.lit("none")] + [F.element_at(w, i) for i in (1, 2, 3)]
-    prompt = tp.fill(tp.QUIZ, F.lit("Question: Which word is first?"), *options)
-    return t.benchmark.select("item_id", prompt.alias("prompt"), F.concat(prompt, F.lit(" B")).alias("one_shot"))
+    cut = lambda i: F.floor(F.size("w") * i / 4).cast("int")
+    quarters = F.array(*[F.array_join(F.slice("w", cut(i) + 1, cut(i + 1) - cut(i)), " ") for i in range(4)])
+    items = t.benchmark.select("item_id", w.alias("w")).select("item_id", (F.col("item_id") % 4).alias("turn"), quarters.alias("o"))
+    options = [F.get("o", ((F.lit(i) - F.col("turn") + 4) % 4).cast("int")) for i in range(4)]
+    answer = F.substring(F.lit("ABCD"), (F.col("turn") + 1).cast("int"), F.lit(1))
+    asked = items.select("item_id", tp.fill(tp.QUIZ, F.lit(_QUESTION), *options).alias("prompt"), answer.alias("answer"))
+    return prompts.one_shot(asked, "item_id", "prompt", "answer", "one_shot")
 
 
 @query(

@@ -7,7 +7,7 @@ from textloom.functions.hashing import HASH_SPACE, hash_key
 from textloom.functions.text import https_links
 from textloom.operators.splits import ratio_split
 from textloom.plans import sqltext as q
-from textloom.plans.registry import query
+from textloom.plans.registry import csv, query
 from textloom.sources import readers, writers
 from textloom.sources.scratch import new_path
 
@@ -125,19 +125,16 @@ def partitioned_sink(t):
 
 @query(
     "s9_word_vector_scan",
-    """SELECT 'w' || vec_id AS word, len(embedding)::INTEGER AS dims, embedding[1]::DOUBLE AS first_value,
-              embedding[len(embedding)]::DOUBLE AS last_value FROM embeddings""",
+    """SELECT 'w' || vec_id AS word, len(embedding)::INTEGER AS dims,
+              array_to_string(list_transform(embedding, lambda x: round(x::DOUBLE * 1e9)::BIGINT), ',') AS billionths FROM embeddings""",
 )
 def word_vector_scan(t):
+    """Whole vectors, as whole billionths so that engines compare them exactly."""
     line = F.concat_ws(" ", F.concat(F.lit("w"), "vec_id"), F.array_join(F.col("embedding").cast("array<string>"), " "))
     path = writers.write_json_lines(t.embeddings.select(line.alias("value")), new_path(t.spark, "vectors"))
     vectors = readers.parse_word_vectors(t.spark.read.text(path))
-    return vectors.select(
-        "word",
-        F.size("vec").alias("dims"),
-        F.element_at("vec", 1).cast("double").alias("first_value"),
-        F.element_at("vec", -1).cast("double").alias("last_value"),
-    )
+    parts = F.transform(F.col("vec").cast("array<float>"), lambda x: F.round(x.cast("double") * 1e9).cast("bigint"))
+    return vectors.select("word", F.size("vec").alias("dims"), csv(parts).alias("billionths"))
 
 
 @query("s10_split_sizes", f"SELECT split, count(*) AS n FROM ({_SPLIT_SQL}) GROUP BY split")

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from textloom.functions.stemming import stem_words
 from textloom.functions import fuzzy
 from textloom.functions import text as tx
 from textloom.functions.encoding import repair_encoding
@@ -143,16 +144,27 @@ _CLEAN_SQL = f"translate({q.strip(_CLEAN_SQL, chr(92) + 'p{Nd}+')}, '{tx.REVIEW_
 
 
 @query(
-    "t12_full_cleaning",
+    "t12_cleaned_words",
     f"""WITH {fx.STOP_SQL}
         SELECT doc_id, array_to_string(list_filter(w, lambda x: NOT list_contains(l, x)), ' ') AS cleaned
         FROM (SELECT doc_id, {q.words(f'lower({_CLEAN_SQL})')} AS w FROM documents), (SELECT list(word) AS l FROM stop)""",
 )
+def cleaned_words(t):
+    """The ordered cleaning steps and stop words in one projection; the words as they are."""
+    kept = _cleaned(t)
+    return kept.select("doc_id", tx.collapse_blanks(F.array_join("kept", " ")).alias("cleaned"))
+
+
+@query("t12_full_cleaning")
 def full_cleaning(t):
-    """The ordered cleaning steps and stop words in one projection (stems: see t9)."""
+    """The ordered cleaning steps, stop words, and the stems of the words that stay."""
+    stemmed = _cleaned(t).select("doc_id", stem_words("kept").alias("kept"))
+    return stemmed.select("doc_id", tx.collapse_blanks(F.array_join("kept", " ")).alias("cleaned"))
+
+
+def _cleaned(t):
     words = tx.words(F.lower(tx.clean_review(F.col("text"))))
-    kept = texts.remove_stop_words(t.documents, words, fx.stop_words(t), "kept")
-    return kept.select("doc_id", tx.collapse_blanks(F.array_join("kept", " ")).alias("cleaned"))
+    return texts.remove_stop_words(t.documents.select("doc_id", "text"), words, fx.stop_words(t), "kept")
 
 
 @query(

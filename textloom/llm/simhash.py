@@ -25,10 +25,13 @@ from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import ROWS_PER_OUTPUT, Stored, components, discard, map_batches, utf8, values
+from textloom.llm.common import ROWS_PER_OUTPUT, Stored, collect_garbage, components, discard, map_batches, utf8, values
+from textloom.operators.overlap import bloom_filter
 
 SEED = 42
 HALVES = tuple(combinations(range(4), 3)) + tuple(combinations(range(4, 8), 3))
@@ -120,10 +123,11 @@ def near_edges(
     return map_batches(meetings(posted, nodes.select("node", "fp"), block), _forests, "a long, b long", n_bytes=n_bytes, most_bits=most_bits, least=least)
 
 
-def meetings(posted: DataFrame, nodes: DataFrame, block: int = 2048) -> DataFrame:
+def meetings(posted: DataFrame, nodes: DataFrame, block: int = 2048, sizes: DataFrame | None = None) -> DataFrame:
     """The rows of `nodes(node, fp, ...)` by the postings `posted(key, node)` of two nodes or more, with the blocks
     `(i, j)` of the posting: each run of equal `(key, i, j)` is in one partition, and any two nodes of a posting meet."""
-    sizes = posted.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    if sizes is None:
+        sizes = posted.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     sizes = sizes.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     met = posted.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -241,13 +245,20 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float =
         "uid long, doc_id long, fp binary, prefix array<long>",
         shingle=shingle, words=words, similarity=similarity, common=common_shingles(rows, shingle),
     )
-    prints = Stored(prints, "fingerprints")
-    nodes = Stored(prints.df.groupBy("fp").agg(F.min("uid").alias("node")), "nodes")
-    heads = prints.df.select(F.col("uid").alias("node"), "prefix").join(nodes.df.select("node"), "node")
-    posted = Stored(heads.select("node", F.explode("prefix").alias("key")), "postings")
+    whole = Stored(prints, "fingerprints")
+    nodes = Stored(whole.df.groupBy("fp").agg(F.min("uid").alias("node")), "nodes")
+    heads = whole.df.select(F.col("uid").alias("node"), "prefix").join(nodes.df.select("node"), "node", "left_semi")
+    heads = Stored(heads, "heads")
+    prints = Stored(whole.df.select("uid", "doc_id", "fp"), "prints")
+    discard(whole)
+    keys = shared_keys(heads.df)
+    bits, held = key_filter(keys.df.select("key"))
+    posted = map_batches(heads.df, _kept_postings, "key long, node long", bits=bits, held=held)
+    posted = Stored(posted.join(keys.df.select("key"), "key", "left_semi"), "postings")
+    discard(heads)
     form = {"n_bytes": n_bytes, "most_bits": most_bits, "least": 0}
     edge = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    tree = map_batches(meetings(posted.df, nodes.df), _forests, "key long, i int, j int, a long, b long", **form)
+    tree = map_batches(meetings(posted.df, nodes.df, sizes=keys.df), _forests, "key long, i int, j int, a long, b long", **form)
     tree = Stored(tree.select("key", "i", "j", *edge), "candidates")
     edges = Stored(_verified(rows, tree.df.select("a", "b").distinct(), shingle, similarity), "edges")
     linked = components(edges.df)
@@ -255,7 +266,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float =
     if not open_groups.df.isEmpty():
         rooted = nodes.df.join(linked.df, "node", "left").withColumn("root", F.coalesce("root", "node"))
         again = posted.df.join(open_groups.df.select("key").distinct(), "key", "left_semi")
-        met = meetings(again, rooted).join(open_groups.df, ["key", "i", "j"], "left_semi")
+        met = meetings(again, rooted, sizes=keys.df).join(open_groups.df, ["key", "i", "j"], "left_semi")
         met = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
         more = map_batches(met, _forests, "a long, b long", rooted=True, **form).select(*edge).distinct()
         more = more.join(tree.df.select("a", "b").distinct(), ["a", "b"], "left_anti")
@@ -263,7 +274,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float =
         discard(linked)
         linked = components(edges.df.unionByName(more.df))
         discard(more)
-    discard(tree, edges, open_groups, posted)
+    discard(tree, edges, open_groups, posted, keys)
     # Every row has a place in its group: equal fingerprints are one node, nodes are joined by edges.
     rooted = nodes.df.join(linked.df, "node", "left").select("fp", F.coalesce("root", "node").alias("root"))
     members = prints.df.join(rooted, "fp").select("root", "uid", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"))
@@ -272,16 +283,98 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float =
     return kept.df.join(first.select("__uid"), "__uid", "left_semi").select(*docs.columns)
 
 
-def _verified(rows: DataFrame, near: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs of `near(a, b)` whose texts have the similarity; pairs are unique."""
+def shared_keys(heads: DataFrame, passes: int = 4) -> Stored:
+    """`(key, n)`: the keys of `heads(node, prefix)` that two nodes or more share, one for each set of n nodes.
+
+    Near copies share many shingles and so meet in many postings of the same nodes; one of them is enough. Sets are
+    told apart by their size, their smallest node and an exclusive or of hashes. Each pass counts its part of the keys, so
+    that no more than that part is shuffled at a time.
+    """
+    parts = []
+    for k in range(passes):
+        own = F.filter("prefix", lambda key: F.pmod(key, F.lit(passes)) == k)
+        counted = heads.select("node", F.explode(own).alias("key")).groupBy("key").agg(
+            F.count("*").alias("n"), F.min("node").alias("low"), F.bit_xor(F.xxhash64("node")).alias("mark")
+        )
+        each = counted.filter("n > 1").groupBy("n", "low", "mark").agg(F.min("key").alias("key"))
+        parts.append(Stored(each, "keys"))
+        collect_garbage(heads.sparkSession)
+    union = parts[0].df
+    for part in parts[1:]:
+        union = union.unionByName(part.df)
+    found = Stored(union.groupBy("n", "low", "mark").agg(F.min("key").alias("key")).select("key", "n"), "keys")
+    discard(*parts)
+    return found
+
+
+def key_filter(keys: DataFrame, most: int = 1 << 27) -> tuple[int, Broadcast]:
+    """A Bloom filter of `keys(key)`, which are hashes: two places of each, in at most `most` bits whatever their number.
+
+    What it lets through by chance is dropped by the join that follows.
+    """
+    bits = 1 << max(15, min(most, 16 * keys.count()).bit_length() - 1)
+    places = F.array(F.col("key").bitwiseAND(F.lit(bits - 1)), F.shiftright("key", 27).bitwiseAND(F.lit(bits - 1)))
+    held = bloom_filter(keys.select(F.explode(places).alias("place")), bits)
+    return bits, keys.sparkSession.sparkContext.broadcast(held)
+
+
+def _let_through(hashes: np.ndarray, bits: int, held: np.ndarray) -> np.ndarray:
+    found = np.ones(len(hashes), dtype=bool)
+    for places in (hashes & (bits - 1), (hashes >> 27) & (bits - 1)):
+        found &= ((held[places >> 3] >> (places & 7).astype(np.uint8)) & 1).astype(bool)
+    return found
+
+
+def _kept_postings(batches, bits, held):
+    for batch in batches:
+        prefixes = batch.column(batch.schema.get_field_index("prefix"))
+        sizes = prefixes.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        keys = prefixes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        nodes = np.repeat(np.array(values(batch, "node"), dtype=np.int64), sizes)
+        kept = _let_through(keys, bits, held.value)
+        yield {"key": keys[kept], "node": nodes[kept]}
+
+
+def _verified(rows: DataFrame, near: DataFrame, shingle: int, similarity: float, salts: int = 64) -> DataFrame:
+    """The pairs of `near(a, b)` whose texts have the similarity; pairs are unique.
+
+    Only texts of pairs leave their task. The texts of all b of an a come after that of a, one at a time; the pairs of one a
+    are dealt over `salts` runs.
+    """
     near = Stored(near, "pairs")
-    ends = near.df.select(F.col("a").alias("uid"), "a", "b").unionByName(near.df.select(F.col("b").alias("uid"), "a", "b"))
-    sets = map_batches(rows.join(ends, "uid").select("a", "b", "text"), _shingle_sets, "a long, b long, set array<long>", shingle=shingle)
-    # Two rows for each edge: its two sets. Their sizes are those of the two texts.
-    pairs = sets.groupBy("a", "b").agg(F.collect_list("set").alias("sets"))
-    both = F.size(F.array_intersect(F.get("sets", F.lit(0)), F.get("sets", F.lit(1))))
-    either = F.size(F.get("sets", F.lit(0))) + F.size(F.get("sets", F.lit(1))) - both
-    return pairs.filter(both >= similarity * either).select("a", "b")
+    salted = near.df.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(salts)).cast("int"))
+    seconds = salted.select(F.col("b").alias("uid"), "a", "salt", "b")
+    firsts = salted.select(F.col("a").alias("uid"), "a", "salt", F.lit(-1).cast("long").alias("b")).distinct()
+    ends = firsts.unionByName(seconds)
+    bits, held = key_filter(ends.select(F.xxhash64("uid").alias("key")).distinct())
+    texts = map_batches(rows.select("uid", F.xxhash64("uid").alias("h"), "text"), _texts_asked, "uid long, text string", bits=bits, held=held)
+    met = texts.join(ends, "uid").select("a", "salt", "b", "text").repartition("a", "salt").sortWithinPartitions("a", "salt", "b")
+    return map_batches(met, _alike, "a long, b long", shingle=shingle, similarity=similarity)
+
+
+def _texts_asked(batches, bits, held):
+    for batch in batches:
+        asked = _let_through(np.array(values(batch, "h"), dtype=np.int64), bits, held.value)
+        some = batch.filter(pa.array(asked))
+        if some.num_rows:
+            yield {"uid": some.column(0), "text": some.column(2)}
+
+
+def _alike(batches, shingle, similarity):
+    """The pairs of each run of rows (a, salt, b, text), of which the first is a's own; a run may go on in the next batch."""
+    run, first = None, None
+    for batch in batches:
+        out = ([], [])
+        for a, salt, b, text in zip(*(values(batch, c) for c in ("a", "salt", "b")), utf8(batch, "text")):
+            found = np.unique(shingle_hashes(text or b"", shingle))
+            if (a, salt) != run:
+                run, first = (a, salt), found
+                continue
+            both = len(np.intersect1d(first, found, assume_unique=True))
+            if both >= similarity * (len(first) + len(found) - both):
+                out[0].append(a)
+                out[1].append(b)
+        yield {"a": out[0], "b": out[1]}
 
 
 def common_shingles(rows: DataFrame, shingle: int, sample: int = 20_000, most: int = 200_000) -> np.ndarray:
@@ -329,17 +422,3 @@ def _prefixed(batches, shingle, words, similarity, common):
         if rows:
             yield dict(zip(("uid", "doc_id", "fp", "prefix"), zip(*rows)))
 
-
-def _shingle_sets(batches, shingle):
-    for batch in batches:
-        a, b = values(batch, "a"), values(batch, "b")
-        rows, held = [], 0
-        for k, text in enumerate(utf8(batch, "text")):
-            found = np.unique(shingle_hashes(text or b"", shingle)).view(np.int64)
-            rows.append((a[k], b[k], found))
-            held += len(found)
-            if held > 1 << 20:
-                yield dict(zip(("a", "b", "set"), zip(*rows)))
-                rows, held = [], 0
-        if rows:
-            yield dict(zip(("a", "b", "set"), zip(*rows)))

@@ -90,6 +90,9 @@ def _automaton():
     return _STATE["keywords"]
 
 
+_NOT_TOKEN = re.compile(r"[^A-Za-z0-9_-]")
+
+
 def ascii_lower(text: str) -> str:
     """A-Z alone in lower case, so that every code point keeps its place."""
     return text.encode().lower().decode()
@@ -124,6 +127,10 @@ def scan(text: str) -> list[tuple[int, int, int]]:
             continue
         match = PATTERNS[kind].match(low if kind == "assign" else text, start)
         if not match:
+            if kind == "jwt" and text.startswith("eyJ", start):
+                # What the header lacks comes after its run of letters, so no later start in the run can match.
+                stop = _NOT_TOKEN.search(text, start)
+                done[kind] = stop.start() if stop else len(text)
             continue
         done[kind] = match.end()
         if kind == "assign" and len(match[1]) < 12 or kind == "access" and len(match[0]) < 18:

@@ -94,10 +94,10 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
         docs.select(F.monotonically_increasing_id().alias("__uid"), *docs.columns), "documents"
     ).df
     taken = mix(sized.select("__uid", "doc_id", "source", "text").withColumn("__words", word_count(F.col("text"))).drop("text"),
-                F.col("__words"), **settings).select("__uid", "size", "taken")
-    rows = sized.join(taken.filter("taken > 0"), "__uid")
-    whole = F.expr("taken div size")
-    rest = F.col("taken") - whole * F.col("size")
+                F.col("__words"), **settings).select("__uid", F.col("size").alias("__size"), F.col("taken").alias("__taken"))
+    rows = sized.join(taken.filter("__taken > 0"), "__uid")
+    whole = F.expr("__taken div __size")
+    rest = F.col("__taken") - whole * F.col("__size")
     parts = F.concat(
         F.array_repeat(F.lit(0).cast("long"), whole.cast("int")), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<long>"))
     )

@@ -1,11 +1,17 @@
 """Toxicity by weak supervision.
 
 Voters look at a text: words of a lexicon, words found to be typical of rows
-labelled toxic, and patterns. A generative model with a hidden class explains
-their votes over all documents: expectation-maximisation estimates how often
-each voter fires in either class, and the correlations of voters within a class
-shrink the say of those that repeat each other. Its posterior is the label that
-a linear classifier over words and votes is trained on; the classifier scores
+labelled toxic, word beginnings that toxic rows repeat, and patterns. Inflected
+forms of one stem are each too rare to vote as words; a beginning of 4 to 6
+letters votes where it comes twice or more and makes up a stated share of the
+words, since clean texts hold such a stem by chance once. A generative model
+with a hidden class explains their votes over all documents. Voters that fire
+together within a class (insults of one language do) are no independent
+witnesses, and their common silence is none either: groups of correlated voters
+make hidden kinds of texts inside each class, within which voters are taken as
+independent. Expectation-maximisation estimates the share of every kind and how
+often each voter fires in it. The posterior of the class is the label that a
+linear classifier over words and votes is trained on; the classifier scores
 every text.
 
 Votes of a text are one bit mask; documents with equal masks are counted
@@ -14,18 +20,20 @@ sums of a size given by the number of voters alone.
 
 Labels are read only from rows that are not held out. At most about
 `labelled_rows` of them, chosen by a hash of the id, are used to find typical
-words, to start the model, and to train the classifier. Label, language, source
+words and beginnings, to start the model, and to train the classifier. Label, language, source
 and id are never inputs of a score. Null and empty texts have no votes and get
 the score of a text without any word. Rows repeated in `labels` count once, as
-toxic if any says so. Without any label the lexicon and the patterns vote alone.
+toxic if any says so. A null id is never learned from and is not held out; an
+empty table gives no rows. Without any label the lexicon and the patterns vote alone.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -48,6 +56,8 @@ LEXICON = {
 PATTERNS = ("insults_again", "insults_dense", "aimed", "shouting", "exclaiming")
 _WORDS = re.compile(r"\w+")
 _AIMED = re.compile(r"\b(?:you|your|du|dein|tu|tes|eres)\W+(?:\w+\W+){0,2}(?:%s)\b" % "|".join(w for k in LEXICON.values() for w in k))
+_STARTS = (4, 5, 6)  # letters of a word's beginning
+_SHARE = 0.003  # of a text's words, that a repeated beginning makes up at least
 _SHOUT = re.compile(r"\b[A-Z]{4,}\b")
 
 
@@ -56,23 +66,34 @@ def held_out() -> Column:
 
 
 class Voters:
-    """The votes of a text as a bit mask: lexicon kinds, typical words, patterns, in this order."""
+    """The votes of a text as a bit mask: lexicon kinds, typical words, repeated beginnings, patterns, in this order."""
 
-    def __init__(self, typical: Sequence[str]):
-        self.typical = tuple(typical)
-        self.names = (*LEXICON, *(f"word:{w}" for w in self.typical), *PATTERNS)
+    def __init__(self, typical: Sequence[str], beginnings: Sequence[str] = ()):
+        self.typical, self.beginnings = tuple(typical), tuple(beginnings)
+        self.names = (
+            *LEXICON, *(f"word:{w}" for w in self.typical), *(f"start:{b}" for b in self.beginnings), *PATTERNS,
+        )
+        if len(self.names) > 63:
+            raise ValueError("a vote mask holds at most 63 voters")
         self.bit_of = {w: 1 << k for k, words in enumerate(LEXICON.values()) for w in words}
         self.lexicon = frozenset(self.bit_of)
         for k, word in enumerate(self.typical):
             self.bit_of[word] = self.bit_of.get(word, 0) | 1 << (len(LEXICON) + k)
-        self.first_pattern = len(LEXICON) + len(self.typical)
+        first = len(LEXICON) + len(self.typical)
+        self.bit_of_start = {b: 1 << (first + k) for k, b in enumerate(self.beginnings)}
+        self.shortest = frozenset(b[: _STARTS[0]] for b in self.beginnings)
+        self.first_pattern = first + len(self.beginnings)
 
     def votes(self, text: str, words: list[str]) -> int:
         mask = 0
-        known = set(words) & self.bit_of.keys()
+        counts = Counter(words)
+        known = counts.keys() & self.bit_of.keys()
         for word in known:
             mask |= self.bit_of[word]
-        times = sum(word in known for word in words) if known else 0
+        near = {w: counts[w] for w in counts if w[: _STARTS[0]] in self.shortest}
+        for start in repeated_beginnings(near, len(words)) & self.bit_of_start.keys():
+            mask |= self.bit_of_start[start]
+        times = sum(counts[word] for word in known)
         signs = (
             times >= 2, times >= 2 and 100 * times >= 2 * len(words),
             bool(known & self.lexicon) and _AIMED.search(text.lower()) is not None,
@@ -81,94 +102,111 @@ class Voters:
         return mask | sum(1 << (self.first_pattern + k) for k, sign in enumerate(signs) if sign)
 
 
+def repeated_beginnings(counts: dict[str, int], n_words: int) -> set[str]:
+    """Word beginnings that come twice or more and are at least a share `_SHARE` of a text's words."""
+    if not counts:
+        return set()
+    found: Counter = Counter()
+    for word, n in counts.items():
+        for letters in _STARTS:
+            if len(word) >= letters:
+                found[word[:letters]] += n
+    least = max(2, math.ceil(_SHARE * n_words))
+    return {start for start, n in found.items() if n >= least}
+
+
 def words_of(text: str) -> list[str]:
     return _WORDS.findall(text.lower())
 
 
 @dataclass
 class LabelModel:
-    """`fires[c, j]`: how often voter j fires in class c; `say[j]`: its weight after correlations."""
+    """Kinds of texts: `toxic[k]` is a kind's class, `share[k]` its share of texts, `fires[k, j]` how often voter j fires in it."""
 
-    prior: float
+    toxic: np.ndarray
+    share: np.ndarray
     fires: np.ndarray
-    say: np.ndarray = field(default=None)
 
-    def posterior(self, votes: np.ndarray) -> np.ndarray:
+    def kinds(self, votes: np.ndarray) -> np.ndarray:
+        """The probability of every kind, a row for each row of votes."""
         p = np.clip(self.fires, 1e-6, 1 - 1e-6)
-        say = np.ones(p.shape[1]) if self.say is None else self.say
-        on, off = np.log(p[1] / p[0]) * say, np.log((1 - p[1]) / (1 - p[0])) * say
-        logit = math.log(self.prior / (1 - self.prior)) + votes @ (on - off) + off.sum()
-        return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+        each = np.log(np.maximum(self.share, 1e-12)) + votes @ np.log(p).T + (1 - votes) @ np.log(1 - p).T
+        each = np.exp(each - each.max(axis=1, keepdims=True))
+        return each / each.sum(axis=1, keepdims=True)
+
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        return np.clip(self.kinds(votes) @ self.toxic, 1e-9, 1 - 1e-9)
 
 
 def bits(masks: np.ndarray, n: int) -> np.ndarray:
     return ((masks[:, None] >> np.arange(n)) & 1).astype(np.float64)
 
 
-def _sums(model: LabelModel, n_voters: int):
-    """For each class: documents, firings of each voter, and joint firings of each two, as `(at, value)` rows."""
+def _sums(model: LabelModel):
+    """For each kind: documents, then firings of each voter, as `(at, value)` rows."""
+    n_kinds, n_voters = model.fires.shape
 
     def run(frames):
-        total = np.zeros((2, n_voters + 1, n_voters + 1))
+        total = np.zeros((n_kinds, n_voters + 1))
         for frame in frames:
             votes = bits(frame["mask"].to_numpy(), n_voters)
-            toxic = model.posterior(votes)
             wide = np.hstack([np.ones((len(votes), 1)), votes])
-            for c, share in enumerate((1 - toxic, toxic)):
-                total[c] += wide.T @ (wide * (share * frame["n"].to_numpy())[:, None])
+            total += (model.kinds(votes) * frame["n"].to_numpy()[:, None]).T @ wide
         yield pd.DataFrame({"at": np.arange(total.size), "value": total.ravel()})
 
     return run
 
 
-def fit_label_model(masks: DataFrame, start: LabelModel, strength: float, rounds: int = 6) -> LabelModel:
-    """Expectation-maximisation over `masks(mask, n)`; the start counts as `strength` documents of each class."""
-    n_voters = start.fires.shape[1]
+def fit_label_model(masks: DataFrame, start: LabelModel, anchor: float = 1.0, rounds: int = 6) -> LabelModel:
+    """Expectation-maximisation over `masks(mask, n)`; the start counts as `anchor` times all documents, at every size."""
+    n_kinds, n_voters = start.fires.shape
     model = start
     for _ in range(rounds):
-        rows = masks.mapInPandas(_sums(model, n_voters), "at int, value double").groupBy("at").agg(F.sum("value").alias("v"))
-        total = np.zeros(2 * (n_voters + 1) ** 2)
-        for r in rows.collect():  # a number for each class and two voters
+        rows = masks.mapInPandas(_sums(model), "at int, value double").groupBy("at").agg(F.sum("value").alias("v"))
+        total = np.zeros(n_kinds * (n_voters + 1))
+        for r in rows.collect():  # a number for each kind and voter
             total[r.at] = r.v
-        total = total.reshape(2, n_voters + 1, n_voters + 1)
-        if not total[:, 0, 0].sum():
+        total = total.reshape(n_kinds, n_voters + 1)
+        n = total[:, 0].sum()
+        if not n:
             return model
-        fires = (total[:, 0, 1:] + strength * start.fires) / (total[:, 0, :1] + strength)
-        prior = (total[1, 0, 0] + strength * start.prior) / (total[:, 0, 0].sum() + strength)
-        model = LabelModel(float(np.clip(prior, 1e-4, 0.5)), fires, correlation_say(total))
+        held = anchor * n * start.share
+        fires = (total[:, 1:] + held[:, None] * start.fires) / np.maximum(total[:, 0] + held, 1e-9)[:, None]
+        model = LabelModel(start.toxic, (total[:, 0] + held) / (n + held.sum()), fires)
     return model
 
 
-def correlation_say(total: np.ndarray, least: float = 0.5) -> np.ndarray:
-    """1 / (1 + sum of a voter's strong correlations with others inside the toxic class).
-
-    Weak ones come from toxic texts that no voter sees, and are left alone. In the other class voters hardly fire; what fires together there is mostly
-    toxic texts that the posterior has not moved yet.
-    """
-    size = max(total[1, 0, 0], 1e-9)
-    mean = total[1, 0, 1:] / size
-    cov = total[1, 1:, 1:] / size - np.outer(mean, mean)
-    spread = np.sqrt(np.maximum(mean * (1 - mean), 1e-12))
-    joint = cov / np.outer(spread, spread)
-    np.fill_diagonal(joint, 0)
-    return 1 / (1 + np.where(joint > least, np.minimum(joint, 1), 0).sum(axis=1))
+def correlated_groups(votes: np.ndarray, weight: np.ndarray, least: float = 0.3) -> np.ndarray:
+    """The group of each voter: voters with a correlation of `least` or more are in one, also by way of others."""
+    mean = weight @ votes / max(weight.sum(), 1e-9)
+    centred = votes - mean
+    cov = centred.T @ (centred * weight[:, None]) / max(weight.sum(), 1e-9)
+    spread = np.sqrt(np.maximum(np.diag(cov), 1e-12))
+    joined = cov / np.outer(spread, spread) >= least
+    group = np.arange(votes.shape[1])
+    for _ in group:
+        smaller = np.array([min(group[j], group[joined[j]].min(initial=j)) for j in range(len(group))])
+        if (smaller == group).all():
+            break
+        group = smaller
+    return group
 
 
 def toxicity_scores(
-    docs: DataFrame, labels: DataFrame, labelled_rows: int = 16_000, typical_words: int = 16, vocabulary: int = 4_000
-) -> DataFrame:
+    docs: DataFrame, labels: DataFrame, labelled_rows: int = 16_000, typical_words: int = 16,
+    typical_beginnings: int = 32, vocabulary: int = 4_000,
+) -> DataFrame:
     """`(doc_id, held_out, score, predicted)` of every row of `docs(doc_id, text)`; labels are `labels(doc_id, toxic)`."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sample = _labelled(texts, labels, labelled_rows)
-    typical = _typical_words(sample.df, typical_words)
-    voters = Voters(typical)
+    voters = Voters(*_typical(sample.df, typical_words, typical_beginnings))
     n_voters = len(voters.names)
 
     masks = map_batches(texts.select("text"), _masks, "mask long", voters=voters)
     masks = Stored(masks.groupBy("mask").agg(F.count("*").alias("n")), "masks")
     marked = Stored(_marked(sample.df, voters), "marked")
     start = _start(marked.df, n_voters)
-    model = fit_label_model(masks.df, start, strength=1_000)
+    model = fit_label_model(masks.df, start)
     weights, bias = _linear(marked.df, model, n_voters, vocabulary)
     discard(sample, masks, marked)
 
@@ -195,24 +233,35 @@ def _labelled(texts: DataFrame, labels: DataFrame, most: int) -> Stored:
     return Stored(once.select((F.col("share") >= 0.5).cast("int").alias("toxic"), "text"), "sample")
 
 
-def _typical_words(sample: DataFrame, most: int) -> list[str]:
-    """Words that stand mostly in rows labelled toxic, those with the most weight of evidence first."""
-    rows = map_batches(sample, _words, "toxic int, word string")
-    toxic = max(1, sample.filter("toxic = 1").count())
-    counts = rows.groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad"))
-    sure = counts.filter((F.col("bad") >= max(3, 0.05 * toxic)) & (F.col("bad") >= 0.6 * F.col("n")))
-    weight = F.col("bad") * F.log((F.col("bad") + 1) / (F.col("n") - F.col("bad") + 1))
-    return [r.word for r in sure.orderBy(weight.desc(), "word").limit(most).collect()]
-
+def _typical(sample: DataFrame, words: int, beginnings: int) -> tuple[list[str], list[str]]:
+    """Words, and repeated beginnings, that stand mostly in rows labelled toxic, those with the most weight of evidence first.
 
-def _words(batches):
+    Of beginnings that extend each other the one with more weight is taken, of equal ones the longer.
+    """
+    rows = map_batches(sample, _terms, "toxic int, start boolean, term string")
+    toxic = max(1, sample.filter("toxic = 1").count())
+    counts = rows.groupBy("start", "term").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad"))
+    least = F.when(F.col("start"), max(3, 0.015 * toxic)).otherwise(max(3, 0.05 * toxic))
+    sure = counts.filter((F.col("bad") >= least) & (F.col("bad") >= 0.6 * F.col("n")))
+    sure = sure.withColumn("weight", F.col("bad") * F.log((F.col("bad") + 1) / (F.col("n") - F.col("bad") + 1)))
+    order = [F.col("weight").desc(), F.length("term").desc(), F.col("term")]
+    found = [r.term for r in sure.filter("not start").orderBy(*order).limit(words).collect()]
+    # A chosen beginning rules out those that it extends, at most one a length less, and those that extend it.
+    starts: list[str] = []
+    for r in sure.filter("start").orderBy(*order).limit(40 * beginnings).collect():
+        if len(starts) < beginnings and not any(r.term.startswith(s) or s.startswith(r.term) for s in starts):
+            starts.append(r.term)
+    return found, starts
+
+
+def _terms(batches):
     for batch in batches:
-        toxic, rows = values(batch, "toxic"), ([], [])
-        for k, text in enumerate(utf8(batch, "text")):
-            found = sorted(set(words_of((text or b"").decode())))
-            rows[0].extend([toxic[k]] * len(found))
-            rows[1].extend(found)
-        yield {"toxic": rows[0], "word": rows[1]}
+        rows = []
+        for toxic, text in zip(values(batch, "toxic"), utf8(batch, "text")):
+            counts = Counter(words_of((text or b"").decode()))
+            rows.extend((toxic, False, word) for word in sorted(counts))
+            rows.extend((toxic, True, start) for start in sorted(repeated_beginnings(counts, counts.total())))
+        yield dict(zip(("toxic", "start", "term"), zip(*rows) if rows else ((), (), ())))
 
 
 def _masks(batches, voters):
@@ -240,14 +289,29 @@ def _vote_tokens(mask: int, n: int) -> list[str]:
     return [f"vote {k}" for k in range(n) if mask >> k & 1]
 
 
-def _start(marked: DataFrame, n_voters: int) -> LabelModel:
-    """Firing shares in the labelled rows, drawn towards a voter that is right more often than not."""
-    fired = [F.sum(F.shiftright("mask", k).bitwiseAND(F.lit(1))).alias(f"v{k}") for k in range(n_voters)]
-    sums = {r.toxic: r for r in marked.groupBy("toxic").agg(F.count("*").alias("n"), *fired).collect()}  # two rows
-    size = np.array([sums[c].n if c in sums else 0 for c in (0, 1)], dtype=float)
-    fires = np.array([[sums[c][f"v{k}"] if c in sums else 0 for k in range(n_voters)] for c in (0, 1)], dtype=float)
-    guess = np.array([[0.005] * n_voters, [0.05] * n_voters])
-    return LabelModel(float(np.clip((size[1] + 1) / (size.sum() + 10), 1e-3, 0.5)), (fires + 20 * guess) / (size + 20)[:, None])
+def _start(marked: DataFrame, n_voters: int, least_rows: int = 3) -> LabelModel:
+    """Kinds of labelled rows: in each class one for every group of correlated voters, and one for rows without votes.
+
+    A row is of the kind whose group has most of its votes. Kinds of fewer than `least_rows` rows join the one without
+    votes. Firing shares are drawn towards a voter that is right more often than not.
+    """
+    seen = marked.groupBy("toxic", "mask").count().collect()  # at most as many as labelled rows, a parameter
+    toxic, share, fires = [], [], []
+    for c, guess in ((0, 0.005), (1, 0.05)):
+        rows = [r for r in seen if r.toxic == c]
+        votes = bits(np.array([r["mask"] for r in rows], dtype=np.int64), n_voters)
+        weight = np.array([r["count"] for r in rows], dtype=float)
+        group = correlated_groups(votes, weight)
+        each = np.stack([votes[:, group == g].sum(axis=1) for g in range(n_voters)], axis=1)
+        kind = np.where(each.any(axis=1), each.argmax(axis=1), -1)
+        kind = np.where([weight[kind == k].sum() >= least_rows for k in kind], kind, -1) if len(rows) else kind
+        for k in sorted({-1, *kind.tolist()}):
+            mine = kind == k
+            size = weight[mine].sum()
+            toxic.append(float(c))
+            share.append(size + (0.9, 0.1)[c])
+            fires.append((weight[mine] @ votes[mine] + 4 * guess) / (size + 4))
+    return LabelModel(np.array(toxic), np.array(share) / sum(share), np.array(fires))
 
 
 def _linear(marked: DataFrame, model: LabelModel, n_voters: int, vocabulary: int) -> tuple[dict[str, float], float]:
@@ -259,13 +323,11 @@ def _linear(marked: DataFrame, model: LabelModel, n_voters: int, vocabulary: int
 
     rows = Stored(marked.withColumn("p", posterior("mask")).select("tokens", "p"), "posteriors")
     if rows.df.isEmpty():
-        p = np.clip(model.fires, 1e-6, 1 - 1e-6)
-        lone = {f"vote {k}": float(np.log(p[1, k] / p[0, k])) for k in range(n_voters)}
-        return lone, math.log(model.prior / (1 - model.prior))
+        return _lone_votes(model, n_voters)
     terms = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=vocabulary, minDF=5, binary=True)
     terms = terms.fit(rows.df)
     if not terms.vocabulary:
-        return {}, math.log(model.prior / (1 - model.prior))
+        return _lone_votes(model, n_voters)
     vectors = terms.transform(rows.df)
     both = vectors.select("features", F.lit(1.0).alias("label"), F.col("p").alias("w")).unionByName(
         vectors.select("features", F.lit(0.0).alias("label"), (1 - F.col("p")).alias("w"))
@@ -277,6 +339,13 @@ def _linear(marked: DataFrame, model: LabelModel, n_voters: int, vocabulary: int
     return weights, float(fit.intercept)
 
 
+def _lone_votes(model: LabelModel, n_voters: int) -> tuple[dict[str, float], float]:
+    """Weights where nothing can be trained: the log odds of a text without votes, and what each vote alone adds."""
+    p = model.posterior(np.vstack([np.zeros((1, n_voters)), np.eye(n_voters)]))
+    logit = np.log(p / (1 - p))
+    return {f"vote {k}": float(logit[k + 1] - logit[0]) for k in range(n_voters)}, float(logit[0])
+
+
 def _scores(batches, voters, weights, bias):
     for batch in batches:
         scores = []

@@ -9,6 +9,7 @@ import numpy as np
 
 ID_BYTES = 4  # ids are little-endian unsigned 32-bit integers
 TOGETHER = 64  # texts whose unknown pieces are encoded together
+WORDS_TOGETHER = 256  # unknown words encoded in one call
 _PLAIN_ENDS = (".", ",")
 
 
@@ -47,8 +48,11 @@ class PieceEncoder:
         self.known: dict[str, bytes | None] = {}
 
     def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.asarray(ids, dtype="<u4").tobytes()
+        return self._ids(text).tobytes()
+
+    def _ids(self, text: str) -> np.ndarray:
+        """The ids of one text; the batch call leaves out the offsets, which nothing here needs."""
+        return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def encode(self, texts: Sequence[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -75,15 +79,17 @@ class PieceEncoder:
         """A piece stands for itself after a space, or starts with its line end."""
         known, words, ended, lines = self.known, set(), [], []
         for piece in pieces:
-            if piece == "" or piece[-1].isspace():
+            # No piece holds a plain space, and no other white space is printable.
+            if piece and (piece.isprintable() or piece.split(None, 1) == [piece]):
+                if piece[-1] in _PLAIN_ENDS and piece[-2:-1].isalpha():
+                    ended.append(piece)
+                    words.add(piece[:-1])
+                else:
+                    words.add(piece)
+            elif piece == "" or piece[-1].isspace():
                 known[piece] = None
-            elif piece[0] == "\n" or piece.split(None, 1)[0] != piece:
-                lines.append(piece)
-            elif piece[-1] in _PLAIN_ENDS and piece[-2:-1].isalpha():
-                ended.append(piece)
-                words.add(piece[:-1])
             else:
-                words.add(piece)
+                lines.append(piece)
         self._learn_words([word for word in words if word not in known])
         marks = {mark: self.whole(mark) for mark in _PLAIN_ENDS}
         for piece in ended:
@@ -94,9 +100,9 @@ class PieceEncoder:
 
     def _learn_words(self, words: list[str]) -> None:
         """Words without white space are encoded as one text; a token with a leading space starts the next word."""
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            ids = np.asarray(self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False).ids, dtype="<u4")
+        for at in range(0, len(words), WORDS_TOGETHER):
+            part = words[at : at + WORDS_TOGETHER]
+            ids = self._ids(" " + " ".join(part))
             starts = (np.flatnonzero(self.starts_word[ids]) * ID_BYTES).tolist()
             data = ids.tobytes()
             for word, a, b in zip(part, starts, [*starts[1:], len(data)], strict=True):

@@ -6,6 +6,7 @@ big integer per string, so that long texts stay affordable.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 import numpy as np
@@ -30,6 +31,69 @@ def lcs_length(a: Sequence, b: Sequence) -> int:
     return len(a) - free.bit_count()
 
 
+def places_of(items: Sequence) -> dict:
+    """The places of each item as the bits of one integer."""
+    where: dict = {}
+    for j, item in enumerate(items):
+        where[item] = where.get(item, 0) | (1 << j)
+    return where
+
+
+def lcs_places(a: Sequence, b: Sequence, where: dict | None = None) -> list[int]:
+    """Places in `a` of one longest common subsequence with `b`: read from the end, equal items are always matched,
+    and where the rest is as long either way the item of `a` is left out. `where` is `places_of(b)`, if at hand."""
+    where = places_of(b) if where is None else where
+    full = (1 << len(b)) - 1
+    taken, rows = 0, [0]  # bit j of a row: the common length grows at place j of b
+    for item in a:
+        hit = (full ^ taken) & where.get(item, 0)
+        free = full ^ taken
+        taken = full ^ (((free + hit) | (free - hit)) & full)
+        rows.append(taken)
+    found = []
+    i, j, length = len(a), len(b), taken.bit_count()
+    while length:
+        if a[i - 1] == b[j - 1]:
+            found.append(i - 1)
+            i, j, length = i - 1, j - 1, length - 1
+            continue
+        without_b = length - (rows[i] >> (j - 1) & 1)
+        without_a = (rows[i - 1] & ((1 << j) - 1)).bit_count()
+        if without_b > without_a:
+            j, length = j - 1, without_b
+        else:
+            i, length = i - 1, without_a
+    return found[::-1]
+
+
+def union_hits(reference: Sequence[Sequence[str]], predicted: Sequence[Sequence[str]]) -> int:
+    """Words of the reference's sentences in a common subsequence with any predicted sentence.
+
+    A sentence's places are united over all predicted sentences; a word counts at most as often as the whole
+    prediction holds it.
+    """
+    left = Counter(word for sentence in predicted for word in sentence)
+    others = [(s, places_of(s)) for s in dict.fromkeys(map(tuple, predicted))]  # equal lines give equal places
+    hits = 0
+    for sentence in reference:
+        mine, united = places_of(sentence), 0
+        # Those with the most common words first: what they cover leaves less to look for in the rest.
+        near = [(sum((mine[w].bit_count() for w in mine.keys() & where.keys()), 0), n) for n, (_, where) in enumerate(others)]
+        for shared, n in sorted(near, reverse=True):
+            other, where = others[n]
+            possible = 0
+            for word in mine.keys() & where.keys() if shared else ():
+                possible |= mine[word]
+            if possible & ~united:
+                for place in lcs_places(sentence, other, where):
+                    united |= 1 << place
+        for place, word in enumerate(sentence):
+            if united >> place & 1 and left[word] > 0:
+                left[word] -= 1
+                hits += 1
+    return hits
+
+
 def indel_ratio(a: str, b: str) -> float:
     return 200.0 * lcs_length(a, b) / (len(a) + len(b)) if a or b else 100.0
 
@@ -185,6 +249,13 @@ def word_lcs(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([lcs_length(list(x), list(y)) for x, y in zip(left, right)])
 
 
+@F.pandas_udf(T.LongType())
+def sentence_hits(reference: pd.Series, predicted: pd.Series) -> pd.Series:
+    """`union_hits` of two arrays of sentences, each an array of words; null is no sentence."""
+    lists = lambda x: [] if x is None else [list(s) for s in x]
+    return pd.Series([union_hits(lists(x), lists(y)) for x, y in zip(reference, predicted)], dtype="int64")
+
+
 def hamming(a: Column, b: Column) -> Column:
     """Number of differing places; null for unlike lengths."""
     places = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: (x != y).cast("bigint"))

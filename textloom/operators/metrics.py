@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.functions import fuzzy
 from textloom.functions.arrays import let
 
 
@@ -185,6 +186,13 @@ def f_measure(common: Column, n_pred: Column, n_ref: Column) -> Column:
     return F.coalesce(F.try_divide(2.0 * common, n_pred + n_ref), F.lit(0.0))
 
 
+def rouge_lsum(predicted: Column, reference: Column) -> Column:
+    """F measure of the united common subsequences of two arrays of sentences, each an array of words; 0 where either is empty."""
+    n_words = lambda c: F.size(F.flatten(c))
+    sizes = [F.when(side.isNull(), 0).otherwise(n_words(side)) for side in (predicted, reference)]
+    return f_measure(fuzzy.sentence_hits(reference, predicted), *sizes)
+
+
 def bleu(overlap: DataFrame, lengths: DataFrame, orders: int = 4) -> DataFrame:
     """Corpus BLEU from `ngram_overlap` rows; a zero precision makes the score zero.
 

@@ -173,6 +173,16 @@ def rouge_l(t):
     return rows.agg(r(100 * F.avg(f), 4).alias("rouge_l"))
 
 
+@query("q6_rouge_lsum")
+def rouge_lsum(t):
+    """ROUGE-Lsum by lines: common subsequences of a line with every predicted line, united; every fifth word of a line is left out."""
+    lines = F.split(F.coalesce(F.lower("text"), F.lit("")), "\n")
+    rows = t.documents.select(F.transform(lines, lambda x: F.regexp_extract_all(x, F.lit(ALNUM), F.lit(0))).alias("ref"))
+    rows = rows.withColumn("pred", F.transform("ref", lambda x: F.filter(x, lambda w, i: (i + 1) % 5 != 0)))
+    f = mt.rouge_lsum(F.col("pred"), F.col("ref"))
+    return rows.agg(r(100 * F.avg(f), 4).alias("rouge_lsum"))
+
+
 @query(
     "q7_corpus_bleu",
     f"""WITH {_grams_sql(MARKS, 4)}, p AS (SELECT n, 100.0::DOUBLE * sum(common) / sum(n_pred) AS p FROM o GROUP BY n),

@@ -68,6 +68,7 @@ def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
         T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.StringType(): pa.string(),
         T.DoubleType(): pa.float64(), T.BooleanType(): pa.bool_(), T.BinaryType(): pa.binary(),
         T.ArrayType(T.LongType()): pa.list_(pa.int64()), T.ArrayType(T.IntegerType()): pa.list_(pa.int32()),
+        T.ArrayType(T.StringType()): pa.list_(pa.string()),
     }
     return pa.schema([(f.name, kinds[f.dataType]) for f in T.StructType.fromDDL(schema)])
 

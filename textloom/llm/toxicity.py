@@ -238,9 +238,9 @@ def _typical(sample: DataFrame, words: int, beginnings: int) -> tuple[list[str],
 
     Of beginnings that extend each other the one with more weight is taken, of equal ones the longer.
     """
-    rows = map_batches(sample, _terms, "toxic int, start boolean, term string")
+    rows = map_batches(sample, _terms, "start boolean, term string, n long, bad long")
     toxic = max(1, sample.filter("toxic = 1").count())
-    counts = rows.groupBy("start", "term").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad"))
+    counts = rows.groupBy("start", "term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     least = F.when(F.col("start"), max(3, 0.015 * toxic)).otherwise(max(3, 0.05 * toxic))
     sure = counts.filter((F.col("bad") >= least) & (F.col("bad") >= 0.6 * F.col("n")))
     sure = sure.withColumn("weight", F.col("bad") * F.log((F.col("bad") + 1) / (F.col("n") - F.col("bad") + 1)))
@@ -254,14 +254,27 @@ def _typical(sample: DataFrame, words: int, beginnings: int) -> tuple[list[str],
     return found, starts
 
 
-def _terms(batches):
+def _terms(batches, most=100_000):
+    """Texts, and toxic texts, that hold a term; counted in the task, in tables of about `most` terms."""
+    n, bad = Counter(), Counter()
+
+    def counted():
+        starts, terms = zip(*n) if n else ((), ())
+        return {"start": starts, "term": terms, "n": list(n.values()), "bad": [bad[key] for key in n]}
+
     for batch in batches:
-        rows = []
         for toxic, text in zip(values(batch, "toxic"), utf8(batch, "text")):
             counts = Counter(words_of((text or b"").decode()))
-            rows.extend((toxic, False, word) for word in sorted(counts))
-            rows.extend((toxic, True, start) for start in sorted(repeated_beginnings(counts, counts.total())))
-        yield dict(zip(("toxic", "start", "term"), zip(*rows) if rows else ((), (), ())))
+            keys = [(False, word) for word in counts]
+            keys += [(True, start) for start in repeated_beginnings(counts, counts.total())]
+            n.update(keys)
+            if toxic:
+                bad.update(keys)
+            if len(n) >= most:
+                yield counted()
+                n.clear()
+                bad.clear()
+    yield counted()
 
 
 def _masks(batches, voters):
@@ -272,17 +285,26 @@ def _masks(batches, voters):
 
 def _marked(sample: DataFrame, voters: Voters) -> DataFrame:
     """Labelled rows as `(toxic, mask, tokens)`: tokens are words and votes."""
+    return map_batches(sample, _tokens, "toxic int, mask long, tokens array<string>", voters=voters)
 
-    @F.pandas_udf("struct<mask: bigint, tokens: array<string>>")
-    def look(texts: pd.Series) -> pd.DataFrame:
-        found = []
-        for text in texts.fillna(""):
+
+def _tokens(batches, voters, most=200_000):
+    """In tables of about `most` tokens."""
+    names = ("toxic", "mask", "tokens")
+    for batch in batches:
+        rows, held = [], 0
+        for toxic, text in zip(values(batch, "toxic"), utf8(batch, "text")):
+            text = (text or b"").decode()
             words = words_of(text)
             mask = voters.votes(text, words)
-            found.append((mask, [*sorted(set(words)), *_vote_tokens(mask, len(voters.names))]))
-        return pd.DataFrame(found, columns=["mask", "tokens"])
-
-    return sample.select("toxic", look("text").alias("found")).select("toxic", "found.mask", "found.tokens")
+            tokens = [*sorted(set(words)), *_vote_tokens(mask, len(voters.names))]
+            rows.append((toxic, mask, tokens))
+            held += len(tokens)
+            if held >= most:
+                yield dict(zip(names, zip(*rows)))
+                rows, held = [], 0
+        if rows:
+            yield dict(zip(names, zip(*rows)))
 
 
 def _vote_tokens(mask: int, n: int) -> list[str]:

@@ -1,7 +1,8 @@
 """Word, sub-word, tag and span alignment.
 
-Tags travel as long tables `(doc, position, tag)`; every window here is
-partitioned by one document, so its size is that of one text.
+Tags travel as long tables `(doc, position, tag)`; windows are partitioned by
+one document, so their size is that of one text. Runs along a group are cut
+into blocks, so there a group may have any size.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.arrays import let
 from textloom.operators.joins import contained
+from textloom.operators.ordering import runs
 
 IGNORE, NO_WORD = -100, -1
 
@@ -81,34 +83,17 @@ def bio_tags(sizes: DataFrame, spans: DataFrame, key: str) -> DataFrame:
 
 def tag_spans(tags: DataFrame, key: str, pos: str = "word_no", min_words: int = 1) -> DataFrame:
     """Runs of one class as spans; a `B-` always starts a new one."""
-    order = Window.partitionBy(key).orderBy(pos)
-    kind = F.regexp_replace("tag", "^[BI]-", "")
-    marked = tags.withColumn("class", kind)
-    starts = (
-        F.col("tag").startswith("B-")
-        | F.lag("class").over(order).isNull()
-        | (F.lag("class").over(order) != F.col("class"))
-    )
-    numbered = marked.withColumn("__start", starts.cast("int"))
-    runs = numbered.withColumn("__run", F.sum("__start").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = (
-        runs.filter("class <> 'O'")
-        .groupBy(key, "__run", "class")
-        .agg(F.min(pos).alias("start_word"), F.max(pos).alias("end_word"))
-    )
-    return spans.drop("__run").filter(F.col("end_word") - F.col("start_word") + 1 >= min_words)
+    marked = tags.withColumn("class", F.regexp_replace("tag", "^[BI]-", ""))
+    found = runs(marked, [key], pos, "class", opens=F.col("tag").startswith("B-")).filter("class <> 'O'")
+    spans = found.select(key, "class", F.col("start").alias("start_word"), F.col("end").alias("end_word"))
+    return spans.filter(F.col("end_word") - F.col("start_word") + 1 >= min_words)
 
 
 def equal_runs(df: DataFrame, key: str, pos: str, value: str) -> DataFrame:
     """Gaps and islands: maximal runs of equal values along `pos`."""
-    order = Window.partitionBy(key).orderBy(pos)
-    change = (~F.col(value).eqNullSafe(F.lag(value).over(order))).cast("int")
-    runs = df.withColumn("__change", change)
-    runs = runs.withColumn("__run", F.sum("__change").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return (
-        runs.groupBy(key, "__run", value)
-        .agg(F.min(pos).alias("start_pos"), F.max(pos).alias("end_pos"), F.count("*").alias("run_length"))
-        .drop("__run")
+    found = runs(df, [key], pos, value)
+    return found.select(
+        key, value, F.col("start").alias("start_pos"), F.col("end").alias("end_pos"), F.col("n").alias("run_length")
     )
 
 

@@ -22,6 +22,7 @@ from textloom.sources.scratch import durable
 _BLOCK, _VALUE, _BEFORE = "__block", "__value", "__offset"
 MAX_BLOCKS = 20_000
 ROWS_PER_BLOCK = 1_000_000
+PLACES_PER_BLOCK = 65_536
 
 
 def running_total(
@@ -187,3 +188,69 @@ def fill_gaps(
         same = same & F.col(k).eqNullSafe(F.col(f"__of_{k}"))
     filled = rows.join(around, same).withColumn(value, F.coalesce(forward, "__before", backward, "__after"))
     return filled.drop(_BLOCK, "__before", "__after", "__at", *[f"__of_{k}" for k in keys])
+
+
+def place_block(order: str, places: int = PLACES_PER_BLOCK) -> Column:
+    """Block number of a place counted inside its group: no block holds more than `places` places."""
+    return F.floor(F.col(order) / places)
+
+
+def runs(
+    df: DataFrame, group: Sequence[str], order: str, value: str, opens: Column | None = None, block: Column | None = None
+) -> DataFrame:
+    """Maximal runs of equal `value` along `order` in each group: `(group, value, start, end, n)`.
+
+    `opens` marks rows that start a run in any case. Runs are found inside blocks of places; only the first and the last
+    run of a block can go on in a neighbour, so only these two meet again, one list a group. `block` must not decrease
+    along `order`; without it `order` counts the places of a group, as `place_block` takes it. Nulls are equal values, a
+    null group is a group, a row without a place comes first. Rows of one place have no order between them.
+    """
+    keys = list(group)
+    block = place_block(order) if block is None else block
+    opens = F.lit(False) if opens is None else F.coalesce(opens, F.lit(False))
+    rows = df.withColumns({_BLOCK: block, "__opens": opens}).select(*keys, order, value, _BLOCK, "__opens")
+    inside = Window.partitionBy(*keys, _BLOCK).orderBy(order)
+    changed = ~F.col(value).eqNullSafe(F.lag(value).over(inside))
+    new = (F.row_number().over(inside) == 1) | F.col("__opens") | changed
+    rows = rows.withColumns({"__new": new.cast("bigint"), "__ends": F.lead(F.lit(1)).over(inside).isNull()})
+    rows = rows.withColumn("__run", F.sum("__new").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    local = rows.groupBy(*keys, _BLOCK, "__run", value).agg(
+        F.min(order).alias("start"), F.max(order).alias("end"), F.count("*").alias("n"),
+        F.bool_or((F.col("__new") == 1) & F.col("__opens")).alias("__opens"), F.bool_or("__ends").alias("__ends"),
+    )
+    # Runs inside a block are lists of their own; those at its edges are one list a group.
+    edge = (F.col("__run") == 1) | F.col("__ends")
+    local = local.withColumn("__list", F.when(~edge, F.struct(_BLOCK, "__run")))
+    along = Window.partitionBy(*keys, "__list").orderBy(_BLOCK, "__run")
+    joins = F.col(value).eqNullSafe(F.lag(value).over(along)) & ~F.col("__opens")
+    joins = joins & F.coalesce(~F.col(_BLOCK).eqNullSafe(F.lag(_BLOCK).over(along)), F.lit(False))
+    joins = joins & (F.row_number().over(along) > 1)
+    merged = local.withColumn("__new", F.when(joins, 0).otherwise(1).cast("bigint"))
+    merged = merged.withColumn("__merged", F.sum("__new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = merged.groupBy(*keys, "__list", "__merged", value).agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n")
+    )
+    return whole.drop("__list", "__merged")
+
+
+def previous_value(
+    df: DataFrame, group: Sequence[str], order: str, value: str, out: str, block: Column | None = None
+) -> DataFrame:
+    """Add `out`, the `value` of the row before along `order` in the same group, null for the first.
+
+    Inside blocks, and between a block's last value and the next block; `block` is as in `runs`.
+    """
+    keys = list(group)
+    rows = df.withColumn(_BLOCK, place_block(order) if block is None else block)
+    blocks = Window.partitionBy(*keys).orderBy(_BLOCK)
+    ends = rows.groupBy(*keys, _BLOCK).agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(order)).alias("__end"))
+    ends = ends.select(
+        *[F.col(k).alias(f"__of_{k}") for k in keys], F.col(_BLOCK).alias("__at"), F.lag("__end").over(blocks).alias("__before")
+    )
+    same = F.col(_BLOCK).eqNullSafe(F.col("__at"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__of_{k}"))
+    inside = Window.partitionBy(*keys, _BLOCK).orderBy(order)
+    before = F.coalesce(F.lag(F.struct(F.col(value).alias("v"))).over(inside), F.col("__before"))
+    found = rows.join(ends, same).withColumn(out, before["v"])
+    return found.drop(_BLOCK, "__at", "__before", *[f"__of_{k}" for k in keys])

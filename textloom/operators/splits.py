@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.hashing import HASH_SPACE, hash_key
-from textloom.operators.ordering import dense_index, dense_index_by, prefix_offset, shuffled_rank
+from textloom.operators.ordering import dense_index, dense_index_by, prefix_offset, previous_value, shuffled_rank
 
 
 def ratio_split(df: DataFrame, key: str, shares: Mapping[str, float], seed: int, out: str = "split") -> DataFrame:
@@ -116,7 +116,6 @@ def leaking_groups(df: DataFrame, key: str) -> DataFrame:
     return spread.filter("lo <> hi")
 
 
-def violations_in_order(df: DataFrame, group: str, order: str, value: str) -> DataFrame:
-    """Rows whose value does not exceed the value before it in the same group."""
-    before = F.lag(value).over(Window.partitionBy(group).orderBy(order))
-    return df.withColumn("previous", before).filter(F.col(value) <= F.col("previous"))
+def violations_in_order(df: DataFrame, group: str, order: str, value: str, block: Column | None = None) -> DataFrame:
+    """Rows whose value does not exceed the value before it in the same group; `block` as in `ordering.runs`."""
+    return previous_value(df, [group], order, value, "previous", block).filter(F.col(value) <= F.col("previous"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from textloom.functions.text import space_parts, words
 from textloom.operators import labels as lb
 from textloom.operators import overlap, splits
+from textloom.operators.ordering import previous_value
 from textloom.plans import fixtures as fx
 from textloom.plans import sqltext as q
 from textloom.plans.registry import csv, query
@@ -148,10 +149,8 @@ def label_count_check(t):
         SELECT doc_id, count(*) AS spans, count(*) FILTER (bad) AS violations FROM l GROUP BY doc_id""",
 )
 def ordered_spans(t):
-    from pyspark.sql import Window
-
-    before = F.lag("start_word").over(Window.partitionBy("doc_id").orderBy("k"))
-    rows = fx.gold_spans(t).withColumn("bad", F.col("start_word") <= before)
+    rows = previous_value(fx.gold_spans(t), ["doc_id"], "k", "start_word", "before")
+    rows = rows.withColumn("bad", F.col("start_word") <= F.col("before"))
     return rows.groupBy("doc_id").agg(F.count("*").alias("spans"), F.count_if("bad").alias("violations"))
 
 

@@ -46,7 +46,7 @@ def top_per_group(t):
 def span_order_check(t):
     """Ordered by class instead of position, so the check has something to report."""
     spans = fx.predicted_spans(t).withColumn("spot", F.struct("class", "k"))
-    bad = splits.violations_in_order(spans, "doc_id", "spot", "start_word")
+    bad = splits.violations_in_order(spans, "doc_id", "spot", "start_word", F.struct("class", ordering.place_block("k")))
     return bad.select("doc_id", "k", "start_word", "previous")
 
 

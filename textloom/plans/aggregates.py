@@ -3,10 +3,12 @@
 from pyspark.sql import functions as F
 
 from textloom.functions.text import lower_collapsed, strip_digits, strip_punctuation, word_count, words
+from textloom.operators import sketches
 from textloom.operators import statistics as st
 from textloom.plans import fixtures as fx
 from textloom.plans import sqltext as q
 from textloom.plans.registry import query, r
+from textloom.sources.scratch import durable
 
 CLEAN = q.strip(q.strip("lower(text)", r"[^\p{L}\p{M}\p{N}_" + q.SPACE + "]"), r"\p{Nd}+")
 
@@ -247,3 +249,29 @@ def mean_word_length(t):
     labelled = t.documents.join(t.labels, "doc_id")
     means = labelled.select("quality", st.mean_word_length(words(F.col("text"))).alias("mean_length"))
     return st.histogram(means.dropna(), "mean_length", 0, 12, 24, group=["quality"])
+
+
+def _word_sketches(t):
+    """Stored sketches of the words of each source and language."""
+    rows = t.documents.select("source", "lang", F.explode(words(F.col("text"))).alias("word"))
+    return durable(sketches.sketched(rows, ["source", "lang"], "word"))
+
+
+@query("a23_sketch_counts")
+def sketch_counts(t):
+    """Distinct words of each source and language, then of each source and of all, merged from the stored sketches."""
+    stored = _word_sketches(t)
+    by_source = sketches.merged(stored, ["source"])
+    levels = [
+        sketches.distinct_counts(stored, ["source", "lang"]).withColumn("level", F.lit("source, lang")),
+        sketches.distinct_counts(by_source, ["source"]).withColumn("level", F.lit("source")),
+        sketches.distinct_counts(sketches.merged(stored, []), []).withColumn("level", F.lit("all")),
+    ]
+    every = levels[0].unionByName(levels[1], allowMissingColumns=True).unionByName(levels[2], allowMissingColumns=True)
+    return every.select("level", "source", "lang", F.col("n").alias("n_words"), "approx_distinct")
+
+
+@query("a23_frequent_words")
+def frequent_words(t):
+    """The twenty most frequent words of each source, from merged sketches."""
+    return sketches.frequent_values(sketches.merged(_word_sketches(t), ["source"]), ["source"], 20)

@@ -113,3 +113,33 @@ def fold_ensemble(scores: DataFrame, key: str, columns: Sequence[str], folds: in
     """Sum of score / folds over the folds, rounded."""
     sums = [F.round(F.sum(F.col(c) / folds), digits).alias(c) for c in columns]
     return scores.groupBy(key).agg(*sums)
+
+
+def frequent_keys(rows: DataFrame, key: str, parts: int = 200) -> list:
+    """Keys that may hold more than one row in `parts`: fewer than `2 * parts` of them, from one sketch a task.
+
+    A frequency sketch decides, so its errors change which keys are salted, never a result.
+    """
+    sketch = F.expr(f"approx_top_k({key}, {2 * parts}, {100 * parts})")
+    found = rows.agg(sketch.alias("top"), F.count(key).alias("n")).first()
+    return [r.item for r in found.top or () if r.item is not None and r["count"] * parts > found.n]
+
+
+def salted_lookup(
+    rows: DataFrame, mapping: DataFrame, key: str, spread: Sequence[str], how: str = "left", heavy: Sequence | None = None,
+    salts: int = 32,
+) -> DataFrame:
+    """`rows.join(mapping, key, how)` where a key may hold a third of all rows; `how` is left or inner.
+
+    Rows of a heavy key are dealt over `salts` tasks by a hash of the `spread` columns, so a repeated task deals them
+    alike, and the mapping's rows of that key are repeated `salts` times; all other rows are untouched. Without `heavy`
+    the rows are read once more for `frequent_keys`. A null key matches nothing, as in any join, and is dealt like a heavy one.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"a salted lookup is left or inner, not {how}")
+    heavy = frequent_keys(rows, key) if heavy is None else list(heavy)
+    hot = F.col(key).isin(heavy)
+    place = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    salted = rows.withColumn("__salt", F.when(hot | F.col(key).isNull(), place).otherwise(0))
+    copies = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return salted.join(mapping.withColumn("__salt", F.explode(copies)), [key, "__salt"], how).drop("__salt")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.stemming import porter_stem
 from textloom.functions.text import without_words
+from textloom.operators.joins import salted_lookup
 
 LIST_LIMIT = 100_000
 
@@ -38,10 +39,12 @@ def replace_words(df: DataFrame, key: str, words: Column, mapping: DataFrame, ou
     """Replace each word by `mapping(word, replacement)`, keeping unknown words.
 
     The texts are partitioned by key once; with a broadcast mapping the words
-    are gathered again without another shuffle.
+    are gathered again without another shuffle. Words that make up much of the
+    corpus are dealt over many tasks (`joins.salted_lookup`).
     """
     rows = word_rows(df.repartition(key), key, words)
-    mapped = rows.join(mapping, "word", "left").withColumn("word", F.coalesce("replacement", "word"))
+    mapped = salted_lookup(rows, mapping, "word", [key, "pos"])
+    mapped = mapped.withColumn("word", F.coalesce("replacement", "word"))
     return gather_words(mapped, key, "word", out)
 
 
@@ -54,7 +57,8 @@ def mentions(df: DataFrame, key: str, sentence_array: Column, gazetteer: DataFra
     """Words listed in `gazetteer(word, type)` with sentence number and position."""
     sentence_rows = df.select(key, F.posexplode(sentence_array).alias("sent_no", "sentence"))
     tokens = sentence_rows.select(key, "sent_no", F.posexplode(word_array(F.col("sentence"))).alias("pos", "word"))
-    return tokens.join(gazetteer, "word").select(key, "sent_no", "pos", "type", "word")
+    found = salted_lookup(tokens, gazetteer, "word", [key, "sent_no", "pos"], how="inner")
+    return found.select(key, "sent_no", "pos", "type", "word")
 
 
 def mention_runs(found: DataFrame, key: str) -> DataFrame:

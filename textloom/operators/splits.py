@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.hashing import HASH_SPACE, hash_key
-from textloom.operators.ordering import dense_index, dense_index_by, prefix_offset, previous_value, shuffled_rank
+from textloom.operators.ordering import ROWS_PER_BLOCK, dense_index, dense_index_by, prefix_offset, previous_value, shuffled_rank
+
+CHARS_PER_BLOCK = 16 << 20
 
 
 def ratio_split(df: DataFrame, key: str, shares: Mapping[str, float], seed: int, out: str = "split") -> DataFrame:
@@ -45,11 +47,18 @@ def positional_split(df: DataFrame, order: str, shares: Mapping[str, float]) ->
     return indexed.withColumn("split", F.lit(names[-1]) if label is None else label.otherwise(names[-1]))
 
 
-def offset_split(df: DataFrame, order: str, text: str, share: float, sep_len: int = 1) -> DataFrame:
-    """Cut the end-to-end text at floor(share * characters); a text across the cut is divided."""
+def offset_split(
+    df: DataFrame, order: str, text: str, share: float, sep_len: int = 1, block_chars: int = CHARS_PER_BLOCK
+) -> DataFrame:
+    """Cut the end-to-end text at floor(share * characters); a text across the cut is divided.
+
+    The texts travel in the blocks of the running sum, so a block holds about `block_chars` characters.
+    """
     length = F.length(text) + sep_len
-    placed = prefix_offset(df, order, length, "start_char")
-    total = df.agg(F.sum(length)).first()[0] - sep_len
+    sums = df.agg(F.sum(length).alias("chars"), F.count("*").alias("rows")).first()
+    total = sums.chars - sep_len
+    rows_per_block = min(ROWS_PER_BLOCK, max(1, sums.rows * block_chars // max(1, sums.chars)))
+    placed = prefix_offset(df, order, length, "start_char", rows_per_block)
     cut = int(total * share)
     inside = F.greatest(F.lit(0), F.least(F.length(text), cut - F.col("start_char"))).cast("int")
     parts = F.array(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from textloom.functions import fuzzy
 from textloom.functions.hashing import HASH_SPACE, hash_key
 from textloom.functions.vectors import cosine
+from textloom.operators.ordering import by_key
 
 RANGE_BUCKET = 256
 
@@ -72,24 +73,30 @@ def attach_spans(docs: DataFrame, spans: DataFrame, key: str, keep: Sequence[str
 
 
 def contained(
-    points: DataFrame, spans: DataFrame, key: str, how: str = "inner", bucket: int = RANGE_BUCKET
-) -> DataFrame:
+    points: DataFrame, spans: DataFrame, key: str, how: str = "inner", bucket: int = RANGE_BUCKET,
+    parts: int | None = None, at: str | None = None,
+) -> DataFrame:
     """Rows of `points(key, tok_start, tok_end)` inside `spans(key, span_start, span_end)`.
 
     Both sides are cut into buckets of `bucket` characters and meet on
     `(key, bucket)`, so a long text is spread and only near pairs are compared.
     A point lies in one bucket only, hence `how="left"` keeps lone points once.
+    Both sides have `parts` partitions, if given, which bounds what a task sorts;
+    `at` names a column that keeps the point's bucket.
     """
     reach = F.sequence(F.floor(F.col("span_start") / bucket), F.floor(F.col("span_end") / bucket))
     placed = spans.withColumnRenamed(key, "__key").withColumn("__cell", F.explode(reach))
     near = points.withColumn("__bucket", F.floor(F.col("tok_start") / bucket))
+    if parts is not None:
+        near, placed = by_key(near, [key, "__bucket"], parts), by_key(placed, ["__key", "__cell"], parts)
     met = (
         (F.col(key) == F.col("__key"))
         & (F.col("__bucket") == F.col("__cell"))
         & (F.col("tok_start") >= F.col("span_start"))
         & (F.col("tok_end") <= F.col("span_end"))
     )
-    return near.join(placed, met, how).drop("__key", "__bucket", "__cell")
+    found = near.join(placed, met, how).drop("__key", "__cell")
+    return found.withColumnRenamed("__bucket", at) if at else found.drop("__bucket")
 
 
 def similarity_to(df: DataFrame, vector: str, query: Sequence[float]) -> DataFrame:

@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from textloom.functions.arrays import let
 from textloom.operators.joins import contained
-from textloom.operators.ordering import runs
+from textloom.operators.ordering import by_key, runs
 
 IGNORE, NO_WORD = -100, -1
 
 
-def word_offsets(df: DataFrame, key: str, words: Column) -> DataFrame:
-    """Character range of every word in the text whose words are joined by one blank."""
-    rows = df.repartition(key).select(key, F.posexplode(words).alias("word_no", "word"))
+def word_offsets(df: DataFrame, key: str, words: Column, parts: int | None = None) -> DataFrame:
+    """Character range of every word in the text whose words are joined by one blank; `parts` as in `ordering.by_key`."""
+    rows = by_key(df, [key], parts).select(key, F.posexplode(words).alias("word_no", "word"))
     upto = Window.partitionBy(key).orderBy("word_no").rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.withColumn("end_char", F.sum(F.length("word") + 1).over(upto) - 1)
     return placed.withColumn("start_char", F.col("end_char") - F.length("word"))
@@ -45,22 +45,24 @@ def subword_rows(offsets: DataFrame, key: str, size: int) -> DataFrame:
     )
 
 
-def token_word_map(tokens: DataFrame, offsets: DataFrame, key: str) -> DataFrame:
+def token_word_map(tokens: DataFrame, offsets: DataFrame, key: str, parts: int | None = None) -> DataFrame:
     """Word index of each token from character ranges alone, -1 outside any word."""
     spans = offsets.select(key, "word_no", F.col("start_char").alias("span_start"), F.col("end_char").alias("span_end"))
-    placed = contained(tokens, spans, key, how="left").drop("span_start", "span_end")
+    placed = contained(tokens, spans, key, how="left", parts=parts).drop("span_start", "span_end")
     return placed.withColumn("word_no", F.coalesce("word_no", F.lit(NO_WORD)))
 
 
-def bio_tags(sizes: DataFrame, spans: DataFrame, key: str) -> DataFrame:
+def bio_tags(sizes: DataFrame, spans: DataFrame, key: str, parts: int | None = None) -> DataFrame:
     """`B-`/`I-` tag of every word of the texts in `sizes(key, n_words)`, `O` outside spans.
 
     Where spans overlap, the later span (by start, then end) wins.  A text's
     spans travel as one array; its words are numbered after that join, so the
-    word rows are already partitioned by text and are not shuffled.
+    word rows are already partitioned by text and are not shuffled. `parts` is
+    as in `ordering.by_key`.
     """
+    spans = spans if parts is None else by_key(spans, [key], parts)
     bundled = spans.groupBy(key).agg(F.collect_list(F.struct("start_word", "end_word", "class")).alias("spans"))
-    joined = sizes.repartition(key).join(bundled, key, "left")
+    joined = by_key(sizes, [key], parts).join(bundled, key, "left")
 
     def entry(word, start, end, tag):
         return F.struct(
@@ -118,14 +120,24 @@ def align_labels(word_ids: Column, labels: Column, all_pieces: bool = False) ->
     return let(F.struct(word_ids.alias("ids"), labels.alias("labels")), align)
 
 
-def char_span_targets(tokens: DataFrame, spans: DataFrame, key: str, classes: Sequence[str]) -> DataFrame:
-    """Class code of each token: 2k opens a span of class k, 2k+1 continues it, 2n outside."""
+def char_span_targets(
+    tokens: DataFrame, spans: DataFrame, key: str, classes: Sequence[str], parts: int | None = None
+) -> DataFrame:
+    """Class code of each token: 2k opens a span of class k, 2k+1 continues it, 2n outside.
+
+    The first token of each span is found by itself and goes along with the
+    span, so tokens are shuffled to their spans and no further. `parts` is as in
+    `joins.contained`.
+    """
     code = F.array_position(F.lit(list(classes)), F.col("class")) - 1
-    placed = contained(tokens, spans, key, how="left")
-    first = F.min("tok_start").over(Window.partitionBy(key, "span_start"))
-    target = F.coalesce(2 * code + (F.col("tok_start") != first).cast("int"), F.lit(2 * len(classes)))
+    within = contained(tokens, spans, key, parts=parts)
+    first = within.groupBy(key, "span_start").agg(F.min("tok_start").alias("__first"))
+    placed = contained(tokens, spans.join(first, [key, "span_start"], "left"), key, how="left", parts=parts, at="__at")
+    target = F.coalesce(2 * code + (F.col("tok_start") != F.col("__first")).cast("int"), F.lit(2 * len(classes)))
     coded = placed.withColumn("target", target)
-    return coded.groupBy(*tokens.columns).agg(F.max_by("target", F.coalesce("span_start", F.lit(-1))).alias("target"))
+    # The bucket follows from the token; with it, the groups are where the join left them.
+    grouped = coded.groupBy("__at", *tokens.columns).agg(F.max_by("target", F.coalesce("span_start", F.lit(-1))).alias("target"))
+    return grouped.drop("__at")
 
 
 def one_hot(code: Column, width: int) -> Column:

@@ -23,6 +23,7 @@ _BLOCK, _VALUE, _BEFORE = "__block", "__value", "__offset"
 MAX_BLOCKS = 20_000
 ROWS_PER_BLOCK = 1_000_000
 PLACES_PER_BLOCK = 65_536
+BYTES_PER_PART = 8 << 20
 
 
 def running_total(
@@ -68,6 +69,21 @@ def running_total(
     )
 
 
+def parts_for(df: DataFrame, size: Column, bytes_per_part: int = BYTES_PER_PART) -> int:
+    """Number of partitions that hold about `bytes_per_part` of `size` each.
+
+    Rows that a text is cut into are many times its size, and partitions merged
+    by their size before the cut would be sorted and grouped on disk.
+    """
+    total = df.agg(F.sum(size.cast("bigint"))).first()[0] or 0
+    return min(MAX_BLOCKS, max(1, math.ceil(total / bytes_per_part)))
+
+
+def by_key(df: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
+    """`df` partitioned by `keys`: two tables with equal `parts` meet on the keys, and on more columns, without a shuffle."""
+    return df.repartition(*keys) if parts is None else df.repartition(parts, *keys)
+
+
 def with_quantile_block(df: DataFrame, column: str, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Add a block number that follows `column` and holds about equal row counts.
 

@@ -179,7 +179,7 @@ def entity_per_split(t):
     from textloom.operators.splits import ratio_split
 
     sizes = fx.doc_words(t).select("doc_id", F.size("words").alias("n_words"))
-    tags = bio_tags(sizes, fx.gold_spans(t), "doc_id").filter(F.col("tag").startswith("B-"))
+    tags = bio_tags(sizes, fx.gold_spans(t), "doc_id", fx.text_parts(t)).filter(F.col("tag").startswith("B-"))
     named = tags.withColumn("class", F.substring_index("tag", "-", -1))
     split = ratio_split(named, "doc_id", {"train": 0.8, "test": 0.2}, 42)
     return split.groupBy("split").pivot("class", fx.CLASSES).agg(F.count("tag"))

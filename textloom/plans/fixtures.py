@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from textloom.functions.hashing import hash_key
 from textloom.functions.text import WORD, words
 from textloom.operators.labels import word_offsets
+from textloom.operators.ordering import by_key, parts_for
 from textloom.plans import sqltext as q
 
 # Span classes.
@@ -17,6 +18,11 @@ def doc_words(t):
     return t.documents.filter(F.col("text").rlike(WORD)).select("doc_id", words(F.col("text")).alias("words"))
 
 
+def text_parts(t):
+    """Partitions for rows of single words, by the size of the texts."""
+    return parts_for(t.documents, F.octet_length("text"))
+
+
 def class_name(code):
     return F.element_at(F.lit(CLASSES), (code + 1).cast("int"))
 
@@ -73,14 +79,14 @@ wo AS (SELECT doc_id, word_no, word, e - length(word) AS start_char, e AS end_ch
          FROM (SELECT doc_id, w, unnest(generate_series(1, n)) AS i FROM dw)))"""
 
 
-def offsets(t):
-    return word_offsets(doc_words(t), "doc_id", F.col("words"))
+def offsets(t, parts=None):
+    return word_offsets(doc_words(t), "doc_id", F.col("words"), parts)
 
 
-def char_spans(t):
+def char_spans(t, parts=None):
     """Gold spans as character ranges of the blank-joined text."""
-    at = offsets(t).select("doc_id", "word_no", "start_char", "end_char")
-    gold = gold_spans(t)
+    at = offsets(t, parts).select("doc_id", "word_no", "start_char", "end_char")
+    gold = gold_spans(t) if parts is None else by_key(gold_spans(t), ["doc_id"], parts)
     first = at.select("doc_id", F.col("word_no").alias("start_word"), F.col("start_char").alias("span_start"))
     last = at.select("doc_id", F.col("word_no").alias("end_word"), F.col("end_char").alias("span_end"))
     return gold.join(first, ["doc_id", "start_word"]).join(last, ["doc_id", "end_word"])

@@ -99,11 +99,12 @@ def document_spans(t):
     """,
 )
 def tokens_in_spans(t):
-    points = fx.offsets(t).select(
+    parts = fx.text_parts(t)
+    points = fx.offsets(t, parts).select(
         "doc_id", "word_no", F.col("start_char").alias("tok_start"), F.col("end_char").alias("tok_end")
     )
-    spans = fx.char_spans(t).select("doc_id", "k", "class", "span_start", "span_end")
-    return joins.contained(points, spans, "doc_id").select("doc_id", "word_no", "k", "class")
+    spans = fx.char_spans(t, parts).select("doc_id", "k", "class", "span_start", "span_end")
+    return joins.contained(points, spans, "doc_id", parts=parts).select("doc_id", "word_no", "k", "class")
 
 
 @query(

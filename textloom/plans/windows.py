@@ -181,6 +181,7 @@ def dense_index(t):
 def first_prediction(t):
     """Windows of 64 words that overlap by 24; each window labels its words."""
     counted = fx.doc_words(t).select("doc_id", F.size("words").cast("bigint").alias("n"))
+    counted = ordering.by_key(counted, ["doc_id"], fx.text_parts(t))
     chunks = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.lit(0), F.floor((F.col("n") - 25) / 40)))
     windows = counted.select("doc_id", "n", F.explode(chunks).alias("chunk_no"))
     first = F.col("chunk_no") * 40

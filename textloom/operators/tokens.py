@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.hashing import WIDE_BITS, hash_key
-from textloom.operators.ordering import dense_index, prefix_offset
+from textloom.operators.ordering import by_key, dense_index, prefix_offset
 from textloom.operators.statistics import top_words
 from textloom.sources.scratch import durable
 
@@ -25,15 +25,18 @@ def fit_vocabulary(df: DataFrame, words: Column, cap: int) -> DataFrame:
     return top.withColumn("id", F.row_number().over(Window.orderBy(F.desc("n"), "word"))).select("word", "id", "n")
 
 
-def encode(df: DataFrame, key: str | Sequence[str], words: Column, vocabulary: DataFrame, cap: int) -> DataFrame:
+def encode(
+    df: DataFrame, key: str | Sequence[str], words: Column, vocabulary: DataFrame, cap: int, parts: int | None = None
+) -> DataFrame:
     """`(key, ids, word_ids)` per text, where `key` is one column or several; unknown words are dropped.
 
     The texts are partitioned by key first, so looking the words up in the
     broadcast vocabulary and gathering them again needs no further shuffle.
-    A vocabulary above the broadcast bound is joined by shuffle instead.
+    A vocabulary above the broadcast bound is joined by shuffle instead. `parts`
+    is as in `ordering.by_key`.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    rows = df.repartition(*keys).select(*keys, F.posexplode_outer(words).alias("pos", "word"))
+    rows = by_key(df, keys, parts).select(*keys, F.posexplode_outer(words).alias("pos", "word"))
     table = vocabulary.select("word", F.col("id").alias("__code"))
     coded = rows.join(F.broadcast(table) if cap <= BROADCAST_WORDS else table, "word", "left")
     kept = F.array_sort(F.collect_list(F.when(F.col("__code").isNotNull(), F.struct("pos", "__code"))))
@@ -45,9 +48,9 @@ def encode(df: DataFrame, key: str | Sequence[str], words: Column, vocabulary: D
     )
 
 
-def decode(df: DataFrame, key: str, ids: Column, vocabulary: DataFrame) -> DataFrame:
-    """Ids back to a blank-joined text."""
-    rows = df.repartition(key).select(key, F.posexplode_outer(ids).alias("pos", "id"))
+def decode(df: DataFrame, key: str, ids: Column, vocabulary: DataFrame, parts: int | None = None) -> DataFrame:
+    """Ids back to a blank-joined text; `parts` as in `ordering.by_key`."""
+    rows = by_key(df, [key], parts).select(key, F.posexplode_outer(ids).alias("pos", "id"))
     named = rows.join(vocabulary.select("id", "word"), "id", "left")
     words = F.array_sort(F.collect_list(F.when(F.col("word").isNotNull(), F.struct("pos", "word"))))
     return named.groupBy(key).agg(F.array_join(F.transform(words, lambda s: s["word"]), " ").alias("text"))

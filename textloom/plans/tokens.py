@@ -6,6 +6,7 @@ from textloom.functions import arrays as ar
 from textloom.functions.text import words
 from textloom.operators import tokens as tk
 from textloom.operators.prompts import turn_pairs
+from textloom.plans import fixtures as fx
 from textloom.plans import sqltext as q
 from textloom.plans.registry import csv, query
 from textloom.sources.scratch import durable
@@ -26,8 +27,8 @@ def _vocabulary(t):
     return tk.fit_vocabulary(t.documents, words(LOW("text")), CAP)
 
 
-def encoded(t):
-    return tk.encode(t.documents, "doc_id", words(LOW("text")), _vocabulary(t), CAP)
+def encoded(t, parts=None):
+    return tk.encode(t.documents, "doc_id", words(LOW("text")), _vocabulary(t), CAP, parts)
 
 
 @query("k1_vocabulary", f"WITH {VOCAB_SQL} SELECT word, id, n FROM voc")
@@ -45,7 +46,8 @@ def encode(t):
     f"WITH {VOCAB_SQL} SELECT d.doc_id, coalesce(text, '') AS text FROM (SELECT doc_id FROM documents) d LEFT JOIN (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text FROM tok JOIN voc USING (word) GROUP BY doc_id) USING (doc_id)",
 )
 def round_trip(t):
-    return tk.decode(encoded(t), "doc_id", F.col("ids"), _vocabulary(t))
+    parts = fx.text_parts(t)
+    return tk.decode(encoded(t, parts), "doc_id", F.col("ids"), F.broadcast(_vocabulary(t)), parts)
 
 
 _FRAMED = "list_concat(list_concat([101], ids[1:126]), [102])"

@@ -38,6 +38,7 @@ SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 1 << 7
 
 END_ID = 2
+MOST_PIECES = 1_200_000  # pieces a task keeps; a larger table of them would double
 _ENTRY = struct.Struct("<III")
 _FOOTER = struct.Struct("<IBI")
 _HEAD = struct.Struct("<II")
@@ -175,7 +176,7 @@ def _write(batches, folder, path, end_id, frame_ids):
     part = context.partitionId()
     end = int(end_id).to_bytes(ID_BYTES, "little")
     own, final = f"{root}/.part-{part:06d}-{context.taskAttemptId()}", f"{root}/part-{part:06d}.tokens"
-    known, writer, out = PieceEncoder(path), None, None
+    known, writer, out = PieceEncoder(path, MOST_PIECES), None, None
     for batch in batches:
         texts = [text or "" for text in values(batch, "text")]
         for doc_id, ids in zip(values(batch, "doc_id"), known.encode(texts)):

@@ -135,44 +135,31 @@ def meetings(posted: DataFrame, nodes: DataFrame, block: int = 2048, sizes: Data
     return met.join(nodes, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
 
 
-def _forests(batches, n_bytes, most_bits, least, rooted=False):
-    """Forest edges of each run of rows with the same (key, i, j), or with `rooted` all pairs between different roots;
-    a run may go on in the next batch."""
-    names = ("key", "i", "j", "node", "fp", "root" if rooted else "node")
-    nodes, fps, roots, held = [], [], [], None
-    out = {name: [] for name in ("key", "i", "j", "a", "b")}
+def _forests(batches, n_bytes, most_bits, least):
+    """Forest edges of each run of rows with the same (key, i, j); a run may go on in the next batch."""
+    nodes, fps, held = [], [], None
+    out = ([], [])
 
     def close():
         if len(nodes) > 1:
             packed = np.frombuffer(b"".join(fps), np.uint8).reshape(-1, n_bytes)
-            found = crossing(packed, np.array(roots), most_bits) if rooted else forest(packed, most_bits, least)
-            for x, y in found:
-                for name, value in zip(out, (*held, nodes[x], nodes[y])):
-                    out[name].append(value)
-                if len(out["a"]) == ROWS_PER_OUTPUT:
-                    yield dict(out)
-                    out.update({name: [] for name in out})
+            for x, y in forest(packed, most_bits, least):
+                out[0].append(nodes[x])
+                out[1].append(nodes[y])
 
     for batch in batches:
-        for key, i, j, node, fp, root in zip(*(values(batch, c) for c in names)):
+        for key, i, j, node, fp in zip(*(values(batch, c) for c in ("key", "i", "j", "node", "fp"))):
             if (key, i, j) != held:
-                yield from close()
-                nodes, fps, roots, held = [], [], [], (key, i, j)
+                close()
+                nodes, fps, held = [], [], (key, i, j)
+                if len(out[0]) >= ROWS_PER_OUTPUT:
+                    yield {"a": out[0], "b": out[1]}
+                    out = ([], [])
             nodes.append(node)
             fps.append(fp)
-            roots.append(root)
-    yield from close()
-    if out["a"]:
-        yield out
-
-
-def crossing(packed: np.ndarray, roots: np.ndarray, most_bits: int) -> Iterator[tuple[int, int]]:
-    """All pairs of rows of `packed` with different roots that differ in at most `most_bits` bits."""
-    for k in range(len(packed) - 1):
-        rest = k + 1 + np.flatnonzero(roots[k + 1 :] != roots[k])
-        bits = np.bitwise_count(packed[rest] ^ packed[k]).sum(axis=1, dtype=np.int32)
-        for x in rest[bits <= most_bits].tolist():
-            yield k, x
+    close()
+    if out[0]:
+        yield {"a": out[0], "b": out[1]}
 
 
 def forest(packed: np.ndarray, most_bits: int, least: int) -> Iterator[tuple[int, int]]:
@@ -231,8 +218,9 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float =
     these miss no pair. Fingerprints of `words` x 64 bits over the sets say
     which pairs of a posting are looked at: those up to five standard deviations
     beyond the bits expected. The forest of a posting is verified on the texts;
-    where an edge fails, all its pairs that are not connected yet are verified
-    as well. Columns are those of `docs`.
+    where an edge fails between two groups, all that the forests connect with
+    them meet with their sets of shingles (`_alike_in_groups`), and only a forest
+    of the pairs of the similarity leaves a task. Columns are those of `docs`.
     """
     n_bytes = 8 * words
     # Sets of four and five shingles that share four differ in 3/16 of the bits: small sums are often even.
@@ -257,24 +245,24 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float =
     posted = Stored(posted.join(keys.df.select("key"), "key", "left_semi"), "postings")
     discard(heads)
     form = {"n_bytes": n_bytes, "most_bits": most_bits, "least": 0}
-    edge = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    tree = map_batches(meetings(posted.df, nodes.df, sizes=keys.df), _forests, "key long, i int, j int, a long, b long", **form)
-    tree = Stored(tree.select("key", "i", "j", *edge), "candidates")
-    edges = Stored(_verified(rows, tree.df.select("a", "b").distinct(), shingle, similarity), "edges")
+    tree = map_batches(meetings(posted.df, nodes.df, sizes=keys.df), _forests, "a long, b long", **form)
+    tree = Stored(tree.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+    discard(posted, keys)
+    edges = Stored(_verified(rows, tree.df, shingle, similarity), "edges")
     linked = components(edges.df)
-    open_groups = Stored(tree.df.join(edges.df, ["a", "b"], "left_anti").select("key", "i", "j").distinct(), "groups")
-    if not open_groups.df.isEmpty():
-        rooted = nodes.df.join(linked.df, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        again = posted.df.join(open_groups.df.select("key").distinct(), "key", "left_semi")
-        met = meetings(again, rooted, sizes=keys.df).join(open_groups.df, ["key", "i", "j"], "left_semi")
-        met = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-        more = map_batches(met, _forests, "a long, b long", rooted=True, **form).select(*edge).distinct()
-        more = more.join(tree.df.select("a", "b").distinct(), ["a", "b"], "left_anti")
-        more = Stored(_verified(rows, more, shingle, similarity), "edges")
-        discard(linked)
+    rooted = nodes.df.join(linked.df, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    failed = tree.df.join(edges.df, ["a", "b"], "left_anti")
+    root_of = lambda end: rooted.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+    between = failed.join(root_of("a"), "a").join(root_of("b"), "b").filter("root_a != root_b")
+    between = Stored(between.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct(), "roots")
+    if not between.df.isEmpty():
+        groups = components(between.df)
+        more = _alike_in_groups(rows, rooted, groups.df, shingle, similarity, n_bytes, most_bits)
+        more = Stored(more.distinct(), "edges")
+        discard(linked, groups)
         linked = components(edges.df.unionByName(more.df))
         discard(more)
-    discard(tree, edges, open_groups, posted, keys)
+    discard(tree, edges, between)
     # Every row has a place in its group: equal fingerprints are one node, nodes are joined by edges.
     rooted = nodes.df.join(linked.df, "node", "left").select("fp", F.coalesce("root", "node").alias("root"))
     members = prints.df.join(rooted, "fp").select("root", "uid", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"))
@@ -352,6 +340,103 @@ def _verified(rows: DataFrame, near: DataFrame, shingle: int, similarity: float,
     return map_batches(met, _alike, "a long, b long", shingle=shingle, similarity=similarity)
 
 
+def _alike_in_groups(
+    rows: DataFrame, rooted: DataFrame, groups: DataFrame, shingle: int, similarity: float, n_bytes: int, most_bits: int,
+    block: int = 2048, held: int = 1 << 21,
+) -> DataFrame:
+    """Edges `(a, b)` that connect what the pairs of the similarity connect of `rooted(node, fp, root)` inside each group of
+    `groups(node, root)`, whose nodes are the roots.
+
+    A set of shingles leaves its task once for each block of its group; blocks have about `block` nodes and `held` shingles
+    at most, and every two blocks meet in one run, where the sets are compared. Nodes of one root are not compared.
+    """
+    grouped = rooted.join(groups.select(F.col("node").alias("root"), F.col("root").alias("part")), "root")
+    bits, let = key_filter(grouped.select(F.xxhash64("node").alias("key")))
+    texts = map_batches(rows.select("uid", F.xxhash64("uid").alias("h"), "text"), _texts_asked, "uid long, text string", bits=bits, held=let)
+    sets = map_batches(texts, _sets, "node long, shingles array<long>", shingle=shingle)
+    sets = Stored(sets.join(grouped, "node").select("part", "node", "root", "fp", "shingles"), "sets")
+    sizes = sets.df.groupBy("part").agg(F.count("*").alias("n"), F.sum(F.size("shingles")).alias("m"))
+    blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("m") / held)).cast("int")
+    large = sizes.select("part", blocks.alias("blocks")).filter("blocks > 1")  # few: each has a block's worth of nodes or shingles
+    met = sets.df.join(F.broadcast(large), "part", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    met = met.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    met = met.select("part", "i", "j", "own", "node", "root", "fp", "shingles").repartition("part", "i", "j")
+    met = met.sortWithinPartitions("part", "i", "j", "node")
+    return map_batches(met, _alike_forests, "a long, b long", n_bytes=n_bytes, most_bits=most_bits, similarity=similarity)
+
+
+def _sets(batches, shingle):
+    for batch in batches:
+        rows, held = [], 0
+        for uid, text in zip(values(batch, "uid"), utf8(batch, "text")):
+            rows.append((uid, np.unique(shingle_hashes(text or b"", shingle)).view(np.int64)))
+            held += len(rows[-1][1])
+            if held > 1 << 20:
+                yield dict(zip(("node", "shingles"), zip(*rows)))
+                rows, held = [], 0
+        if rows:
+            yield dict(zip(("node", "shingles"), zip(*rows)))
+
+
+def _alike_forests(batches, n_bytes, most_bits, similarity):
+    """Edges of each run of rows with the same (part, i, j): every pair of block i and block j meets, but only a forest of
+    those of the similarity comes out; a run may go on in the next batch."""
+    rows, run = [], None
+    out = {"a": [], "b": []}
+
+    def close():
+        if len(rows) < 2:
+            return
+        nodes, roots, own, fps, sets = zip(*rows)
+        packed = np.frombuffer(b"".join(fps), np.uint8).reshape(-1, n_bytes)
+        apart = np.array(own) if run[1] != run[2] else np.arange(len(rows))
+        for x, y in alike_forest(packed, np.array(roots), apart, sets, most_bits, similarity):
+            out["a"].append(min(nodes[x], nodes[y]))
+            out["b"].append(max(nodes[x], nodes[y]))
+
+    for batch in batches:
+        lists = batch.column(batch.schema.get_field_index("shingles"))
+        sets = np.split(lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy())[:-1])
+        for part, i, j, own, node, root, fp, one in zip(*(values(batch, c) for c in ("part", "i", "j", "own", "node", "root", "fp")), sets):
+            if (part, i, j) != run:
+                close()
+                rows, run = [], (part, i, j)
+            rows.append((node, root, own, fp, one))
+        if len(out["a"]) >= ROWS_PER_OUTPUT:
+            yield out
+            out = {"a": [], "b": []}
+    close()
+    yield out
+
+
+def alike_forest(
+    packed: np.ndarray, roots: np.ndarray, apart: np.ndarray, sets: Sequence[np.ndarray], most_bits: int, similarity: float
+) -> Iterator[tuple[int, int]]:
+    """Edges of a spanning forest of the pairs of `sets` of the similarity, roots being connected already. Only pairs with
+    different values of `apart` and at most `most_bits` differing bits are compared, and none that is connected by then."""
+    sizes = np.array([len(s) for s in sets])
+    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    codes = np.split(codes, np.cumsum(sizes)[:-1])
+    label = np.unique(roots, return_inverse=True)[1]
+    mark = np.zeros(int(sizes.sum()) + 1, dtype=bool)
+    for k in range(len(sets) - 1):
+        rest = k + 1 + np.flatnonzero((label[k + 1 :] != label[k]) & (apart[k + 1 :] != apart[k]))
+        rest = rest[np.minimum(sizes[rest], sizes[k]) >= similarity * np.maximum(sizes[rest], sizes[k]) - 1e-6]
+        if len(rest):
+            bits = np.bitwise_count(packed[rest] ^ packed[k]).sum(axis=1, dtype=np.int32)
+            rest = rest[bits <= most_bits]
+        mark[codes[k]] = True
+        for x in rest.tolist():
+            if label[x] != label[k]:
+                both = np.count_nonzero(mark[codes[x]])
+                if both >= similarity * (sizes[k] + sizes[x] - both):
+                    yield k, x
+                    label[label == label[x]] = label[k]
+        mark[codes[k]] = False
+
+
 def _texts_asked(batches, bits, held):
     for batch in batches:
         asked = _let_through(np.array(values(batch, "h"), dtype=np.int64), bits, held.value)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +20,18 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def cuts(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """`(start, stop)` of runs of rows that add up to `most` at most; a larger row is a run of its own."""
+    start, held = 0, 0
+    for row, size in enumerate(sizes.tolist()):
+        if row > start and held + size > most:
+            yield start, row
+            start, held = row, 0
+        held += size
+    if len(sizes):
+        yield start, len(sizes)
+
+
 def _ints(*values) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast("array<int>")
 

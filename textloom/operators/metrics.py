@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.functions import fuzzy
-from textloom.functions.arrays import let
+from textloom.functions.arrays import cuts, let
+from textloom.sources.scratch import durable
+
+WORDS_AT_ONCE = 200_000
 
 
 def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -163,11 +170,19 @@ def ngrams(words: Column, n: int) -> Column:
 def ngram_overlap(df: DataFrame, key: str, predicted: Column, reference: Column, orders: Sequence[int]) -> DataFrame:
     """Per text and n: n-grams on both sides and their clipped common count.
 
-    The texts are partitioned by key once; counting n-grams and adding them up
-    per text then happens inside those partitions.
+    A text is counted where it lies, in Arrow batches. The rows of a key that comes more than once are one text: their
+    n-grams meet in a shuffle.
     """
-    texts = df.select(key, predicted.alias("p"), reference.alias("r")).repartition(key)
+    texts = df.select(key, predicted.alias("p"), reference.alias("r"))
+    repeated = durable(df.groupBy(F.col(key).alias("__key")).agg(F.count("*").alias("n")).filter("n > 1").select("__key"))
+    if repeated.isEmpty():
+        return _counted_in_place(texts, key, orders)
+    same = F.col(key).eqNullSafe(F.col("__key"))
+    alone, several = (texts.join(repeated, same, how) for how in ("left_anti", "left_semi"))
+    return _counted_in_place(alone, key, orders).unionByName(_counted_in_shuffle(several, key, orders))
+
 
+def _counted_in_shuffle(texts: DataFrame, key: str, orders: Sequence[int]) -> DataFrame:
     def tagged(side, is_pred, n):
         mark = lambda g: F.struct(F.lit(n).alias("n"), F.lit(is_pred).alias("is_pred"), g.alias("gram"))
         return F.transform(ngrams(F.col(side), n), mark)
@@ -182,6 +197,51 @@ def ngram_overlap(df: DataFrame, key: str, predicted: Column, reference: Column,
     )
 
 
+def _counted_in_place(texts: DataFrame, key: str, orders: Sequence[int]) -> DataFrame:
+    schema = T.StructType([
+        texts.schema[key], T.StructField("n", T.IntegerType()), *[T.StructField(c, T.LongType()) for c in ("common", "n_pred", "n_ref")]
+    ])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [pc.fill_null(pc.list_value_length(batch.column(c)), 0).to_numpy(zero_copy_only=False) for c in (1, 2)]
+            for start, stop in cuts(sizes[0] + sizes[1], WORDS_AT_ONCE):
+                part = batch.slice(start, stop - start)
+                words = pa.concat_arrays([part.column(1).flatten(), part.column(2).flatten()])
+                for n, *counts in gram_counts(words, sizes[0][start:stop], sizes[1][start:stop], orders):
+                    some = np.flatnonzero(counts[1] + counts[2])
+                    columns = [part.column(0).take(pa.array(some)), pa.array(np.full(len(some), n), pa.int32())]
+                    columns += [pa.array(c[some], pa.int64()) for c in counts]
+                    yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return texts.mapInArrow(run, schema)
+
+
+def gram_counts(words: pa.Array, n_pred: np.ndarray, n_ref: np.ndarray, orders: Sequence[int]) -> Iterator[tuple]:
+    """`(n, common, in prediction, in reference)` per text, for the words of all predictions and then of all references.
+
+    An n-gram of a text has the number of its first n - 1 words and the code of its last one, so equal numbers are equal n-grams.
+    """
+    coded = pc.dictionary_encode(words, null_encoding="encode")
+    code, n_codes = coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
+    sizes = np.concatenate([n_pred, n_ref]).astype(np.int64)
+    text = np.repeat(np.tile(np.arange(len(n_pred)), 2), sizes)
+    end = np.repeat(np.cumsum(sizes), sizes)
+    at, ids = np.arange(len(code)), text
+    for n in range(1, max(orders) + 1):
+        inside = at + n <= end[at]
+        at, ids = at[inside], ids[inside]
+        _, ids = np.unique(ids * n_codes + code[at + n - 1], return_inverse=True)
+        if n in orders:
+            pred = at < n_pred.sum()
+            distinct = int(ids.max(initial=-1)) + 1
+            sides = [np.bincount(ids[side], minlength=distinct) for side in (pred, ~pred)]
+            of = np.zeros(distinct, dtype=np.int64)
+            of[ids] = text[at]
+            common = np.bincount(of, weights=np.minimum(*sides), minlength=len(n_pred)).astype(np.int64)
+            yield n, common, *[np.maximum(np.asarray(s, dtype=np.int64) - n + 1, 0) for s in (n_pred, n_ref)]
+
+
 def f_measure(common: Column, n_pred: Column, n_ref: Column) -> Column:
     return F.coalesce(F.try_divide(2.0 * common, n_pred + n_ref), F.lit(0.0))
 

@@ -11,6 +11,7 @@ from textloom.plans import fixtures as fx
 from textloom.plans import sqltext as q
 from textloom.plans.labels import runs_sql, tags_sql, text_sizes
 from textloom.plans.registry import csv, query, r
+from textloom.sources.scratch import durable
 
 PREDICTED_SQL = "pr AS (SELECT vec_id, label, (list_position(embedding[1:10], list_max(embedding[1:10])) - 1)::INTEGER AS prediction FROM embeddings)"
 
@@ -155,10 +156,13 @@ o AS (SELECT doc_id, n, sum(least(cp, cr)) AS common, sum(cp) AS n_pred, sum(cr)
 )
 def rouge_n(t):
     rows = _summaries(t, ALNUM)
-    overlap = mt.ngram_overlap(rows, "doc_id", F.col("pred"), F.col("ref"), [1, 2])
+    overlap = durable(mt.ngram_overlap(rows, "doc_id", F.col("pred"), F.col("ref"), [1, 2]))
     f = mt.f_measure(F.col("common"), F.col("n_pred"), F.col("n_ref"))
     sums = overlap.agg(*[F.sum(F.when(F.col("n") == n, f)).alias(f"f{n}") for n in (1, 2)])
-    sizes = rows.agg(F.count("*").alias("rows"), F.avg(F.size("pred")).alias("gen_len")).first()
+    # Words are the runs of one word, so the texts are not cut again for their lengths.
+    texts = t.documents.agg(F.count("*").alias("rows"), F.count("text").alias("texts"))
+    words = overlap.filter("n = 1").agg(F.coalesce(F.sum("n_pred"), F.lit(0)).alias("words"))
+    sizes = texts.crossJoin(words).select("rows", F.try_divide("words", "texts").alias("gen_len")).first()
     return sums.select(
         r(100 * F.col("f1") / sizes["rows"], 4).alias("rouge1"),
         r(100 * F.col("f2") / sizes["rows"], 4).alias("rouge2"),
@@ -194,8 +198,9 @@ def rouge_lsum(t):
 )
 def corpus_bleu(t):
     rows = _summaries(t, MARKS)
-    overlap = mt.ngram_overlap(rows, "doc_id", F.col("pred"), F.col("ref"), [1, 2, 3, 4])
-    sizes = rows.agg(F.sum(F.size("pred")).alias("hyp_len"), F.sum(F.size("ref")).alias("ref_len"))
+    overlap = durable(mt.ngram_overlap(rows, "doc_id", F.col("pred"), F.col("ref"), [1, 2, 3, 4]))
+    words = [F.coalesce(F.sum(c), F.lit(0)).alias(name) for c, name in (("n_pred", "hyp_len"), ("n_ref", "ref_len"))]
+    sizes = overlap.filter("n = 1").agg(*words)
     return mt.bleu(overlap, sizes).select(*[r(c).alias(c) for c in ("bleu", "brevity_penalty", "p1", "p2", "p3", "p4")])
 
 

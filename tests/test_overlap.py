@@ -36,3 +36,27 @@ def test_the_filter_holds_its_places_and_little_else(spark):
     table = spark.createDataFrame([(int(p),) for p in places], "place long")
     held = np.unpackbits(overlap.bloom_filter(table, 1 << 17), bitorder="little")
     assert set(np.flatnonzero(held).tolist()) == set(places.tolist())
+
+
+def test_a_batch_of_many_words_goes_in_parts(spark, monkeypatch):
+    """Texts of 250,000 words in one batch: runs inside a text are found, none across the border of two parts."""
+    import pyarrow as pa
+
+    from textloom.operators import overlap
+
+    seen, whole = [], overlap.run_hashes
+    monkeypatch.setattr(overlap, "run_hashes", lambda words, sizes, window: seen.append(len(words)) or whole(words, sizes, window))
+    texts = [[f"w{k}x{i % 500}" for i in range(10_000)] for k in range(25)]
+    made = {}
+
+    class Frame:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            batch = pa.RecordBatch.from_arrays([pa.array(range(25), pa.int64()), pa.array(texts)], names=["id", "words"])
+            made["rows"] = [r for b in run(iter([batch])) for r in b.to_pylist()]
+
+    overlap._runs(Frame(), "id", F.col("words"), 13, 1 << 15)
+    assert max(seen) <= 200_000 and sum(seen) == 250_000
+    assert sum(r["n"] for r in made["rows"]) == 25 * (10_000 - 12) and len({(r["id"], r["run"]) for r in made["rows"]}) == 25 * 500

@@ -22,8 +22,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.functions.arrays import cuts
 from textloom.sources.scratch import durable
 
+WORDS_AT_ONCE = 200_000
 MOST_BITS = 1 << 27
 BITS_PER_RUN = 16
 _PAGE = 1 << 15  # bits of one bitmap of Spark's bitmap functions
@@ -61,23 +63,24 @@ def _runs(df: DataFrame, key: str, words: Column, window: int, bits: int, filter
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None if filter_bits is None else filter_bits.value
         for batch in batches:
-            ids, lists = batch.column(0).to_pylist(), batch.column(1)
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            flat = lists.flatten()
-            hashes, whole = run_hashes(flat, sizes, window)
-            places = bit_places(hashes, bits)
-            if held is not None:
-                whole &= np.all((held[places >> 3] >> (places & 7).astype(np.uint8)) & 1, axis=1)
-            text = np.repeat(np.arange(len(sizes)), sizes)
-            rows: dict[tuple[int, str], list] = {}
-            for at in np.flatnonzero(whole).tolist():
-                found = " ".join(flat.slice(at, window).to_pylist())
-                rows.setdefault((int(text[at]), found), [0, at])[0] += 1
-            n_runs = np.maximum(0, sizes - window + 1).tolist()
-            out = [(ids[i], n_runs[i], None, 0, None) for i in range(len(ids))] if held is not None else []
-            out += [(ids[i], None, found, n, places[at].tolist() if held is None else None) for (i, found), (n, at) in rows.items()]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*out), types)], schema=types)
+            of_batch = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for start, stop in cuts(of_batch, WORDS_AT_ONCE):
+                part, sizes = batch.slice(start, stop - start), of_batch[start:stop]
+                ids, flat = part.column(0).to_pylist(), part.column(1).flatten()
+                hashes, whole = run_hashes(flat, sizes, window)
+                places = bit_places(hashes, bits)
+                if held is not None:
+                    whole &= np.all((held[places >> 3] >> (places & 7).astype(np.uint8)) & 1, axis=1)
+                text = np.repeat(np.arange(len(sizes)), sizes)
+                rows: dict[tuple[int, str], list] = {}
+                for at in np.flatnonzero(whole).tolist():
+                    found = " ".join(flat.slice(at, window).to_pylist())
+                    rows.setdefault((int(text[at]), found), [0, at])[0] += 1
+                n_runs = np.maximum(0, sizes - window + 1).tolist()
+                out = [(ids[i], n_runs[i], None, 0, None) for i in range(len(ids))] if held is not None else []
+                out += [(ids[i], None, found, n, places[at].tolist() if held is None else None) for (i, found), (n, at) in rows.items()]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*out), types)], schema=types)
 
     return df.select(F.col(key).cast("long").alias("id"), words.alias("words")).mapInArrow(run, schema)
 

@@ -134,13 +134,14 @@ def frequent_keys(rows: DataFrame, key: str, parts: int = 200) -> list:
 
 def salted_lookup(
     rows: DataFrame, mapping: DataFrame, key: str, spread: Sequence[str], how: str = "left", heavy: Sequence | None = None,
-    salts: int = 32,
+    salts: int = 32, parts: int | None = None,
 ) -> DataFrame:
     """`rows.join(mapping, key, how)` where a key may hold a third of all rows; `how` is left or inner.
 
     Rows of a heavy key are dealt over `salts` tasks by a hash of the `spread` columns, so a repeated task deals them
     alike, and the mapping's rows of that key are repeated `salts` times; all other rows are untouched. Without `heavy`
     the rows are read once more for `frequent_keys`. A null key matches nothing, as in any join, and is dealt like a heavy one.
+    Both sides have `parts` partitions, if given, which bounds what a task sorts.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"a salted lookup is left or inner, not {how}")
@@ -149,4 +150,7 @@ def salted_lookup(
     place = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     salted = rows.withColumn("__salt", F.when(hot | F.col(key).isNull(), place).otherwise(0))
     copies = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return salted.join(mapping.withColumn("__salt", F.explode(copies)), [key, "__salt"], how).drop("__salt")
+    listed = mapping.withColumn("__salt", F.explode(copies))
+    if parts is not None:
+        salted, listed = by_key(salted, [key, "__salt"], parts), by_key(listed, [key, "__salt"], parts)
+    return salted.join(listed, [key, "__salt"], how).drop("__salt")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textloom.functions.stemming import porter_stem
 from textloom.functions.text import without_words
 from textloom.operators.joins import salted_lookup
+from textloom.operators.ordering import by_key
 
 LIST_LIMIT = 100_000
 
@@ -35,15 +36,19 @@ def remove_stop_words(df: DataFrame, words: Column, stop: DataFrame, out: str, l
     return df.withColumn(out, without_words(words, listed))
 
 
-def replace_words(df: DataFrame, key: str, words: Column, mapping: DataFrame, out: str) -> DataFrame:
+def replace_words(
+    df: DataFrame, key: str, words: Column, mapping: DataFrame, out: str, parts: int | None = None
+) -> DataFrame:
     """Replace each word by `mapping(word, replacement)`, keeping unknown words.
 
     The texts are partitioned by key once; with a broadcast mapping the words
-    are gathered again without another shuffle. Words that make up much of the
+    are gathered again without another shuffle. With `parts`, words alone are
+    shuffled, into as many partitions, so that tasks sort them in memory. Words that make up much of the
     corpus are dealt over many tasks (`joins.salted_lookup`).
     """
-    rows = word_rows(df.repartition(key), key, words)
-    mapped = salted_lookup(rows, mapping, "word", [key, "pos"])
+    rows = word_rows(df.repartition(key) if parts is None else df, key, words)
+    mapped = salted_lookup(rows, mapping, "word", [key, "pos"], parts=parts)
+    mapped = mapped if parts is None else by_key(mapped, [key], parts)
     mapped = mapped.withColumn("word", F.coalesce("replacement", "word"))
     return gather_words(mapped, key, "word", out)
 
@@ -53,12 +58,18 @@ def stem_table(vocabulary: DataFrame) -> DataFrame:
     return vocabulary.select("word").distinct().withColumn("replacement", porter_stem("word"))
 
 
-def mentions(df: DataFrame, key: str, sentence_array: Column, gazetteer: DataFrame, word_array) -> DataFrame:
-    """Words listed in `gazetteer(word, type)` with sentence number and position."""
+def mentions(
+    df: DataFrame, key: str, sentence_array: Column, gazetteer: DataFrame, word_array, parts: int | None = None
+) -> DataFrame:
+    """Words listed in `gazetteer(word, type)` with sentence number and position.
+
+    Rows of words have `parts` partitions, if given, and so have those found, by sentence.
+    """
     sentence_rows = df.select(key, F.posexplode(sentence_array).alias("sent_no", "sentence"))
     tokens = sentence_rows.select(key, "sent_no", F.posexplode(word_array(F.col("sentence"))).alias("pos", "word"))
-    found = salted_lookup(tokens, gazetteer, "word", [key, "sent_no", "pos"], how="inner")
-    return found.select(key, "sent_no", "pos", "type", "word")
+    found = salted_lookup(tokens, gazetteer, "word", [key, "sent_no", "pos"], how="inner", parts=parts)
+    found = found.select(key, "sent_no", "pos", "type", "word")
+    return found if parts is None else by_key(found, [key, "sent_no"], parts)
 
 
 def mention_runs(found: DataFrame, key: str) -> DataFrame:

@@ -330,7 +330,7 @@ def hamming(t):
 )
 def entity_sentences(t):
     found = texts.mentions(
-        t.documents, "doc_id", tx.sentences(F.col("text")), fx.gazetteer(t), lambda s: tx.words(F.lower(s))
+        t.documents, "doc_id", tx.sentences(F.col("text")), fx.gazetteer(t), lambda s: tx.words(F.lower(s)), fx.text_parts(t)
     )
     counted = found.groupBy("doc_id", "sent_no", "type").agg(
         F.count("*").alias("mentions"), (F.min("word") != F.max("word")).alias("several")
@@ -349,7 +349,7 @@ def entity_sentences(t):
 )
 def mention_indices(t):
     found = texts.mentions(
-        t.documents, "doc_id", tx.sentences(F.col("text")), fx.gazetteer(t), lambda s: tx.words(F.lower(s))
+        t.documents, "doc_id", tx.sentences(F.col("text")), fx.gazetteer(t), lambda s: tx.words(F.lower(s)), fx.text_parts(t)
     )
     return texts.mention_runs(found, "doc_id").withColumn("indices", csv("indices"))
 

@@ -111,7 +111,7 @@ def stems(t):
     """Stems of the vocabulary, then of every text through the stem table."""
     words = tx.words(tx.strip_punctuation(F.lower("text")))
     vocabulary = t.documents.select(F.explode(words).alias("word")).distinct()
-    stemmed = texts.replace_words(t.documents, "doc_id", words, texts.stem_table(vocabulary), "stems")
+    stemmed = texts.replace_words(t.documents, "doc_id", words, texts.stem_table(vocabulary), "stems", fx.text_parts(t))
     return stemmed.select("doc_id", F.array_join("stems", " ").alias("stemmed"))
 
 
@@ -126,7 +126,7 @@ def lemmas(t):
     """A lemma table that drops a final s stands in for a dictionary."""
     listed = fx.vocabulary(t).filter(F.col("word").endswith("s") & (F.length("word") > 4))
     table = listed.select("word", F.expr("substr(word, 1, length(word) - 1)").alias("replacement"))
-    mapped = texts.replace_words(t.documents, "doc_id", tx.words(F.lower("text")), table, "lemmas")
+    mapped = texts.replace_words(t.documents, "doc_id", tx.words(F.lower("text")), table, "lemmas", fx.text_parts(t))
     return mapped.select("doc_id", F.array_join("lemmas", " ").alias("lemmas"))
 
 

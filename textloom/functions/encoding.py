@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,9 +44,18 @@ def to_ascii(text: str) -> str:
     return unicodedata.normalize("NFKD", text.translate(_FORMS)).encode("ascii", "ignore").decode("ascii")
 
 
-@F.pandas_udf(T.StringType())
-def _ascii_forms(texts: pd.Series) -> pd.Series:
-    return texts.map(to_ascii, na_action="ignore")
+TEXTS_AT_ONCE = 200
+
+
+@F.arrow_udf(T.StringType())
+def _ascii_forms(texts: pa.Array) -> pa.Array:
+    """Texts outside ASCII are Python strings a few at a time; the others stay as they are."""
+    other = pc.fill_null(pc.invert(pc.string_is_ascii(texts)), False)
+    changed = texts.filter(other)
+    parts = []
+    for at in range(0, len(changed), TEXTS_AT_ONCE):
+        parts.append(pa.array(map(to_ascii, changed.slice(at, TEXTS_AT_ONCE).to_pylist()), texts.type))
+    return pc.replace_with_mask(texts, other, pa.concat_arrays(parts)) if parts else texts
 
 
 def repair_encoding(text: Column | str) -> Column:

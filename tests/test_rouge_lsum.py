@@ -49,6 +49,27 @@ def test_places_and_hits_equal_the_plain_table():
         assert fuzzy.union_hits(reference, predicted) == _plain_hits(reference, predicted)
 
 
+def test_lines_are_not_compared_once_their_words_are_covered(monkeypatch):
+    # Every line shares words with all others; each prediction leaves out every fifth word of its line, or swaps two words.
+    calls, plain = [], fuzzy.lcs_places
+    monkeypatch.setattr(fuzzy, "lcs_places", lambda *sides: calls.append(1) or plain(*sides))
+    rng = random.Random(3)
+    lines = [["the", *(rng.choice("abcdefgh") for _ in range(10)), "of"] for _ in range(40)]
+    shorter = [[w for i, w in enumerate(s, 1) if i % 5] for s in lines]
+    assert fuzzy.union_hits(lines, shorter) == _plain_hits(lines, shorter) and len(calls) <= len(lines)
+    swapped = [[s[1], s[0], *s[2:]] for s in shorter]
+    assert fuzzy.union_hits(lines, swapped) == _plain_hits(lines, swapped)
+
+
+def test_places_of_a_subsequence():
+    rng = random.Random(4)
+    for _ in range(300):
+        a = [rng.choice("abc") for _ in range(rng.randrange(12))]
+        b, other = [w for w in a if rng.random() < 0.6], [rng.choice("abc") for _ in range(rng.randrange(6))]
+        assert fuzzy.embedded_places(a, b) == _plain_places(a, b)
+        assert fuzzy.embedded_places(a, other) in (None, _plain_places(a, other))
+
+
 def test_a_known_example():
     # The places of both predicted lines are united: w1 w2 and w1 w3 w5 make four of five words.
     assert fuzzy.union_hits([["w1", "w2", "w3", "w4", "w5"]], [["w1", "w2", "w6", "w7", "w8"], ["w1", "w3", "w8", "w9", "w5"]]) == 4

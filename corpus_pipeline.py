@@ -38,7 +38,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 tokens: one row for each piece of a document."""
-    placed = packing.best_fit_sequences(docs, tokenizer_path(), capacity=1024)
+    # Smaller tasks that remember fewer words than op4's: executors that ran the other stages have less memory left.
+    placed = packing.best_fit_sequences(docs, tokenizer_path(), capacity=1024, task_bytes=64 << 20, most_known=600_000)
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

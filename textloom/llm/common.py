@@ -49,7 +49,8 @@ def collect_garbage(spark: SparkSession) -> None:
 def map_batches(df: DataFrame, fn: Callable, schema: str, **params) -> DataFrame:
     """`mapInArrow` over `fn(batches, schema, **params)`, where `schema` is the Arrow schema of the result.
 
-    `fn` yields dictionaries of equal-length columns.
+    `fn` yields dictionaries of equal-length columns. Workers wait for further tasks, also while other stages use
+    the executor's memory, so a task gives back what it has freed.
     """
     arrow = arrow_schema(df.sparkSession, schema)
 
@@ -58,10 +59,18 @@ def map_batches(df: DataFrame, fn: Callable, schema: str, **params) -> DataFrame
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[f.name], type=f.type) for f in arrow], schema=arrow
             )
+        columns = None
+        release_memory()
 
     return df.mapInArrow(run, schema)
 
 
+def release_memory() -> None:
+    """Give memory that this process has freed back to the system: Arrow's, and that of the C library."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
 def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     """The Arrow schema for the flat column types the operators return."""
     kinds = {

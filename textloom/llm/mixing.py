@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,8 +60,9 @@ def mix(
     totals = [(r.source, r.n) for r in keyed.groupBy("source").agg(F.sum("size").alias("n")).collect()]
     target = targets(totals, weights, most_epochs)
     plan = [(name, n, target[name], int(target[name])) for name, n in totals]
-    schema = "__source string, source_size long, target double, __budget long"
-    budgets = spark.createDataFrame(plan, schema)
+    # An Arrow table is read without Python workers, which would wait in every executor for further tasks.
+    fields = pa.schema([("__source", pa.string()), ("source_size", pa.int64()), ("target", pa.float64()), ("__budget", pa.int64())])
+    budgets = spark.createDataFrame(pa.Table.from_pylist([dict(zip(fields.names, row)) for row in plan], fields))
 
     rows = keyed.withColumn("__block", F.shiftright("__key", 64 - BLOCK_BITS))
     earlier = Window.partitionBy("source").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)

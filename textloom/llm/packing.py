@@ -32,14 +32,17 @@ PACKED = "part long, uid long, piece int, length long, bin long, offset long, ga
 _NAMES = [c.split()[0] for c in PIECES.split(", ")]
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, with_ids: bool = False) -> DataFrame:
-    """The pieces of `docs(doc_id, text)`; `uid` tells repeated rows apart."""
+def pieces(
+    docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, with_ids: bool = False, most_known: int = 1_500_000
+) -> DataFrame:
+    """The pieces of `docs(doc_id, text)`; `uid` tells repeated rows apart. A task keeps the ids of `most_known` words at most."""
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_batches(rows, _pieces, PIECES, path=tokenizer, capacity=capacity, end_id=end_id, with_ids=with_ids)
+    form = {"path": tokenizer, "capacity": capacity, "end_id": end_id, "with_ids": with_ids, "most_known": most_known}
+    return map_batches(rows, _pieces, PIECES, **form)
 
 
-def _pieces(batches, path, capacity, end_id, with_ids):
-    known, end = PieceEncoder(path), int(end_id).to_bytes(ID_BYTES, "little")
+def _pieces(batches, path, capacity, end_id, with_ids, most_known):
+    known, end = PieceEncoder(path, most_known), int(end_id).to_bytes(ID_BYTES, "little")
     rows, held = [], 0
     for batch in batches:
         texts = [text or "" for text in values(batch, "text")]
@@ -175,7 +178,7 @@ def _packer(capacity: int, turn: int):
 
 def best_fit_sequences(
     docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, pieces_per_part: int = 50_000,
-    rounds: int = 4, with_ids: bool = False, task_bytes: int = 128 << 20,
+    rounds: int = 4, with_ids: bool = False, task_bytes: int = 128 << 20, most_known: int = 1_500_000,
 ) -> DataFrame:
     """Every piece of `docs(doc_id, text)` with its sequence and place there.
 
@@ -184,7 +187,7 @@ def best_fit_sequences(
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     docs = docs.coalesce(max(1, math.ceil(size / task_bytes)))
-    cut = Stored(pieces(docs, tokenizer, capacity, end_id, with_ids), "pieces")
+    cut = Stored(pieces(docs, tokenizer, capacity, end_id, with_ids, most_known), "pieces")
     short = pack(cut.df.filter(F.col("length") < capacity), capacity, pieces_per_part, rounds)
     full = cut.df.filter(F.col("length") == capacity).withColumn("sequence_id", -1 - F.monotonically_increasing_id())
     full = full.withColumn("offset", F.lit(0).cast("long"))

@@ -352,8 +352,8 @@ def _alike_in_groups(
     """
     grouped = rooted.join(groups.select(F.col("node").alias("root"), F.col("root").alias("part")), "root")
     bits, let = key_filter(grouped.select(F.xxhash64("node").alias("key")))
-    texts = map_batches(rows.select("uid", F.xxhash64("uid").alias("h"), "text"), _texts_asked, "uid long, text string", bits=bits, held=let)
-    sets = map_batches(texts, _sets, "node long, shingles array<long>", shingle=shingle)
+    asked = rows.select("uid", F.xxhash64("uid").alias("h"), "text")
+    sets = map_batches(asked, _sets_asked, "node long, shingles array<long>", shingle=shingle, bits=bits, held=let)
     sets = Stored(sets.join(grouped, "node").select("part", "node", "root", "fp", "shingles"), "sets")
     sizes = sets.df.groupBy("part").agg(F.count("*").alias("n"), F.sum(F.size("shingles")).alias("m"))
     blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("m") / held)).cast("int")
@@ -367,15 +367,16 @@ def _alike_in_groups(
     return map_batches(met, _alike_forests, "a long, b long", n_bytes=n_bytes, most_bits=most_bits, similarity=similarity)
 
 
-def _sets(batches, shingle):
-    for batch in batches:
-        rows, held = [], 0
+def _sets_asked(batches, shingle, bits, held):
+    """Texts are chosen and cut in one worker: a step of its own for each would keep two of them for every task."""
+    for batch in _asked(batches, bits, held):
+        rows, n = [], 0
         for uid, text in zip(values(batch, "uid"), utf8(batch, "text")):
             rows.append((uid, np.unique(shingle_hashes(text or b"", shingle)).view(np.int64)))
-            held += len(rows[-1][1])
-            if held > 1 << 20:
+            n += len(rows[-1][1])
+            if n > 1 << 20:
                 yield dict(zip(("node", "shingles"), zip(*rows)))
-                rows, held = [], 0
+                rows, n = [], 0
         if rows:
             yield dict(zip(("node", "shingles"), zip(*rows)))
 
@@ -437,12 +438,17 @@ def alike_forest(
         mark[codes[k]] = False
 
 
-def _texts_asked(batches, bits, held):
+def _asked(batches, bits, held):
     for batch in batches:
         asked = _let_through(np.array(values(batch, "h"), dtype=np.int64), bits, held.value)
         some = batch.filter(pa.array(asked))
         if some.num_rows:
-            yield {"uid": some.column(0), "text": some.column(2)}
+            yield some
+
+
+def _texts_asked(batches, bits, held):
+    for some in _asked(batches, bits, held):
+        yield {"uid": some.column(0), "text": some.column(2)}
 
 
 def _alike(batches, shingle, similarity):

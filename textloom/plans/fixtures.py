@@ -1,9 +1,13 @@
 """Inputs that the given tables do not hold directly, derived by fixed rules."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
 from textloom.functions.hashing import hash_key
 from textloom.functions.text import WORD, words
+from textloom.operators.joins import RANGE_BUCKET, arrow_lists, bundled, list_array, list_values, pairs_inside, texts_of
 from textloom.operators.labels import word_offsets
 from textloom.operators.ordering import by_key, parts_for
 from textloom.plans import sqltext as q
@@ -79,17 +83,42 @@ wo AS (SELECT doc_id, word_no, word, e - length(word) AS start_char, e AS end_ch
          FROM (SELECT doc_id, w, unnest(generate_series(1, n)) AS i FROM dw)))"""
 
 
-def offsets(t, parts=None):
-    return word_offsets(doc_words(t), "doc_id", F.col("words"), parts)
+def offsets(t, parts=None, beside=None):
+    """The words of each text with their character ranges, a row a text as of `word_offsets`."""
+    texts = t.documents.filter(F.col("text").rlike(WORD)).select("doc_id", "text")
+    return word_offsets(texts, "doc_id", words(F.col("text")), parts, beside)
+
+
+_RANGES = ArrayType(StructType().add("at", IntegerType()).add("span_start", LongType()).add("span_end", LongType()))
+
+
+def _span_ranges(start_word, end_word, word_no, start_char, end_char):
+    """`(at, span_start, span_end)` for each span and each pair of words that have its first and its last number."""
+    (first, begin, g_sizes, w_sizes), (last, finish, _, _) = (
+        pairs_inside((no, no), (word_no, word_no), RANGE_BUCKET) for no in (start_word, end_word)
+    )
+    order = np.argsort(last, kind="stable")
+    last, finish = last[order], finish[order]
+    n = np.bincount(last, minlength=g_sizes.sum())
+    before, many = np.cumsum(n) - n, n[first]
+    span = np.repeat(first, many)
+    until = finish[np.arange(len(span)) - np.repeat(np.cumsum(many) - many - before[first], many)]
+    text = texts_of(g_sizes)
+    at = span - (np.cumsum(g_sizes) - g_sizes)[text[span]]
+    starts, ends = list_values(start_char)[1][np.repeat(begin, many)], list_values(end_char)[1][until]
+    found = pa.StructArray.from_arrays([pa.array(at, pa.int32()), pa.array(starts), pa.array(ends)], ["at", "span_start", "span_end"])
+    order = pa.array(np.argsort(text[span], kind="stable"))
+    return list_array(np.bincount(text[span], minlength=len(g_sizes)), found.take(order))
 
 
 def char_spans(t, parts=None):
-    """Gold spans as character ranges of the blank-joined text."""
-    at = offsets(t, parts).select("doc_id", "word_no", "start_char", "end_char")
-    gold = gold_spans(t) if parts is None else by_key(gold_spans(t), ["doc_id"], parts)
-    first = at.select("doc_id", F.col("word_no").alias("start_word"), F.col("start_char").alias("span_start"))
-    last = at.select("doc_id", F.col("word_no").alias("end_word"), F.col("end_char").alias("span_end"))
-    return gold.join(first, ["doc_id", "start_word"]).join(last, ["doc_id", "end_word"])
+    """Gold spans as character ranges of the blank-joined text: `(doc_id, words, spans)`, `spans` a struct of arrays."""
+    ranges = arrow_lists(_span_ranges, _RANGES)
+    rows = offsets(t, parts, bundled(gold_spans(t), "doc_id", "gold", parts))
+    longs = [F.col(f"gold.{c}").cast("array<bigint>") for c in ("start_word", "end_word")]
+    found = rows.withColumn("at", ranges(*longs, F.col("words.word_no").cast("array<bigint>"), F.col("words.start_char"), F.col("words.end_char")))
+    picked = lambda c: F.transform("at.at", lambda i: F.get(F.col(f"gold.{c}"), i)).alias(c)
+    return found.select("doc_id", "words", F.struct(picked("k"), picked("class"), F.col("at.span_start").alias("span_start"), F.col("at.span_end").alias("span_end")).alias("spans"))
 
 
 CHAR_SPANS_SQL = """

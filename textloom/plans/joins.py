@@ -99,12 +99,9 @@ def document_spans(t):
     """,
 )
 def tokens_in_spans(t):
-    parts = fx.text_parts(t)
-    points = fx.offsets(t, parts).select(
-        "doc_id", "word_no", F.col("start_char").alias("tok_start"), F.col("end_char").alias("tok_end")
-    )
-    spans = fx.char_spans(t, parts).select("doc_id", "k", "class", "span_start", "span_end")
-    return joins.contained(points, spans, "doc_id", parts=parts).select("doc_id", "word_no", "k", "class")
+    texts, words = fx.char_spans(t, fx.text_parts(t)), F.col("words")
+    points = F.struct(words["word_no"].alias("word_no"), words["start_char"].alias("tok_start"), words["end_char"].alias("tok_end"))
+    return joins.contained(points, F.col("spans"), "doc_id", rows=texts).select("doc_id", "word_no", "k", "class")
 
 
 @query(

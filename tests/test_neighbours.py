@@ -79,3 +79,14 @@ def test_one_leaf_and_blocks_are_exact_on_odd_vectors(spark):
         assert all([c for _, c in row] == sorted((c for _, c in row), reverse=True) for row in lists.values())
     empty = table.filter("id < 0")
     assert neighbours.nearest_rows(empty, 3).count() == 0 and neighbours.nearest_exact(empty, table, 3).count() == 0
+
+
+def test_no_side_that_grows_with_the_table_is_broadcast(spark, monkeypatch):
+    plans, real = [], neighbours.durable
+    monkeypatch.setattr(neighbours, "durable", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    found = neighbours.nearest_rows(_table(spark, np.random.default_rng(7).normal(size=(900, 4))), 3, trees=3, leaf=100)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    joins = [line for plan in plans for line in plan.split("\n") if "Join [" in line]
+    assert any("node#" in line for line in joins)
+    # Tables of cells alone are small: a cell stands for many vectors.
+    assert not [line for line in joins if "Broadcast" in line and not ("tree#" in line and "cell#" in line)]

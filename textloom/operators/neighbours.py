@@ -89,6 +89,14 @@ def _projections(trees: int, round_no: int, seed: int):
     return run
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the table and is never broadcast: stored, it looks far smaller than it is in memory.
+
+    The trees' rows of a node and of a cell are run-length coded in parquet; broadcast, a row takes about 110 bytes.
+    """
+    return df.hint("merge")
+
+
 def tree_leaves(vectors: DataFrame, trees: int, leaf: int = LEAF, rounds: int = 40, seed: int = 5) -> DataFrame:
     """`(tree, cell, node)`: the leaf of each of `vectors(node, vec)` in every tree.
 
@@ -104,9 +112,9 @@ def tree_leaves(vectors: DataFrame, trees: int, leaf: int = LEAF, rounds: int =
         large = durable(open_rows.join(sizes.filter(F.col("__n") > leaf), ["tree", "cell"]).select("tree", "cell", "node"))
         if large.isEmpty():
             break
-        some = vectors.join(large.select("node").distinct(), "node", "left_semi").select("node", "vec")
+        some = vectors.join(shuffled(large.select("node").distinct()), "node", "left_semi").select("node", "vec")
         values = some.mapInPandas(_projections(trees, round_no, seed), "node long, tree int, p array<double>")
-        placed = durable(large.join(values, ["node", "tree"]))
+        placed = durable(shuffled(large).join(values, ["node", "tree"]))
         medians = placed.groupBy("tree", "cell").agg(
             *[F.percentile_approx(F.col("p")[i], 0.5, 1000).alias(f"__m{i}") for i in range(DIRECTIONS)]
         )
@@ -136,7 +144,7 @@ def nearest_rows(rows: DataFrame, k: int, trees: int = 12, leaf: int = LEAF, see
         near = best_of(data, data, ids, k, ids)
         return pd.DataFrame({"node": ids, "near": [[{"minus": m, "other": o} for m, o in row] for row in near]})
 
-    blocks = leaves.join(classes.select("node", "vec"), "node")
+    blocks = leaves.join(shuffled(classes.select("node", "vec")), "node")
     found = blocks.groupBy("tree", "cell").applyInPandas(compare, _FOUND)
     return _expanded(rows, classes, combined(found, k), k)
 
@@ -150,13 +158,13 @@ def combined(found: DataFrame, k: int) -> DataFrame:
 def _expanded(rows: DataFrame, classes: DataFrame, near: DataFrame, k: int) -> DataFrame:
     """From vectors to rows: every row gets the rows with its own vector, then those of the nearest vectors."""
     others = near.select("node", F.explode("near").alias("e")).select("node", "e.minus", F.col("e.other").alias("other"))
-    others = others.join(classes.select(F.col("node").alias("other"), F.col("ids").alias("of_other")), "other")
+    others = others.join(shuffled(classes.select(F.col("node").alias("other"), F.col("ids").alias("of_other"))), "other")
     entry = lambda minus: lambda i: F.struct(minus.alias("minus"), i.alias("id"))
     listed = others.select("node", F.transform("of_other", entry(F.col("minus"))).alias("l")).groupBy("node").agg(F.flatten(F.collect_list("l")).alias("far"))
     own = F.transform("ids", entry(F.lit(-1.0)))
-    every = classes.join(listed, "node", "left").select("vec", F.concat(own, F.coalesce("far", F.slice(own, 1, 0))).alias("entries"))
+    every = classes.join(shuffled(listed), "node", "left").select("vec", F.concat(own, F.coalesce("far", F.slice(own, 1, 0))).alias("entries"))
     kept = F.slice(F.array_sort(F.filter("entries", lambda e: e["id"] != F.col("id"))), 1, k)
-    ranked = rows.join(every, "vec").select("id", F.posexplode(kept).alias("at", "e"))
+    ranked = rows.join(shuffled(every), "vec").select("id", F.posexplode(kept).alias("at", "e"))
     return ranked.select("id", (F.col("at") + 1).alias("rank"), F.col("e.id").alias("neighbour"), (-F.col("e.minus")).alias("cosine"))
 
 

@@ -97,3 +97,21 @@ def test_pairs_equal_plain_ones():
         got = sorted(zip(*map(list, places_inside(p_text, p_start, p_end, s_text, s_start, s_end, bucket)), strict=True))
         want = [(i, j) for i in range(80) for j in range(50) if p_text[i] == s_text[j] and s_start[j] <= p_start[i] and p_end[i] <= s_end[j]]
         assert got == want and want
+
+
+def test_texts_of_a_batch_are_taken_a_few_at_a_time(monkeypatch):
+    import pyarrow as pa
+
+    from textloom.operators import joins
+
+    texts = [[*range(n)] for n in (0, 3, 50, 0, 7, 1, 20)]
+    lists, nothing = pa.array(texts, pa.list_(pa.int64())), pa.array([[]] * 7, pa.list_(pa.int64()))
+    whole = joins.pairs_inside((lists, lists), (lists, lists), 16)
+    seen, real = [], joins.places_inside
+    monkeypatch.setattr(joins, "places_inside", lambda *a: seen.append(len(a[0])) or real(*a))
+    monkeypatch.setattr(joins, "ROWS_AT_ONCE", 20)
+    few = joins.pairs_inside((lists, lists), (lists, lists), 16)
+    assert [x.tolist() for x in few] == [x.tolist() for x in whole] and sorted(whole[0]) == [*range(81)] and whole[0].tolist() == whole[1].tolist()
+    assert max(seen) == 50 and sum(seen) == 81 and len(seen) >= 4
+    assert len(joins.pairs_inside((lists, lists), (nothing, nothing), 16)[0]) == 0
+    assert len(joins.pairs_inside((lists[:0], lists[:0]), (nothing[:0], nothing[:0]), 16)[0]) == 0

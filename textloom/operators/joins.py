@@ -20,6 +20,7 @@ from textloom.operators.ordering import by_key
 
 RANGE_BUCKET = 256
 PAIRS_AT_ONCE = 1 << 20
+ROWS_AT_ONCE = 1 << 18
 
 
 def outer_with_blanks(
@@ -164,8 +165,16 @@ def pairs_inside(points: Sequence[pa.ListArray], spans: Sequence[pa.ListArray],
         sides.append((whole, texts_of(size)[whole], start[whole], end[whole]))
         sizes.append(size)
     (p_whole, *p_side), (s_whole, *s_side) = sides
-    point, span = places_inside(*p_side, *s_side, bucket)
-    return p_whole[point], s_whole[span], *sizes
+    found, text, n = [], 0, len(sizes[0])
+    work = np.cumsum(sum(np.bincount(side[0], minlength=n) for side in (p_side, s_side)))
+    while text < n:  # as many texts as have a bounded number of points and spans, one at least
+        more = max(text + 1, int(np.searchsorted(work, (work[text - 1] if text else 0) + ROWS_AT_ONCE, "right")))
+        (p_from, p_to), (s_from, s_to) = (np.searchsorted(side[0], (text, more)) for side in (p_side, s_side))
+        point, span = places_inside(*(x[p_from:p_to] for x in p_side), *(x[s_from:s_to] for x in s_side), bucket)
+        found.append((p_whole[point + p_from], s_whole[span + s_from]))
+        text = more
+    point, span = (np.concatenate([np.empty(0, np.int64), *x]) for x in zip(*found, strict=True)) if found else 2 * [np.empty(0, np.int64)]
+    return point, span, *sizes
 
 
 def list_array(sizes: np.ndarray, values: pa.Array) -> pa.ListArray:

@@ -27,6 +27,11 @@ def text_parts(t):
     return parts_for(t.documents, F.octet_length("text"))
 
 
+def row_parts(t):
+    """The same for texts with their words, pieces and spans as arrays of a row: a task holds a batch of them in the JVM and in Python."""
+    return 2 * text_parts(t)
+
+
 def class_name(code):
     return F.element_at(F.lit(CLASSES), (code + 1).cast("int"))
 

@@ -99,7 +99,7 @@ def document_spans(t):
     """,
 )
 def tokens_in_spans(t):
-    texts, words = fx.char_spans(t, fx.text_parts(t)), F.col("words")
+    texts, words = fx.char_spans(t, fx.row_parts(t)), F.col("words")
     points = F.struct(words["word_no"].alias("word_no"), words["start_char"].alias("tok_start"), words["end_char"].alias("tok_end"))
     return joins.contained(points, F.col("spans"), "doc_id", rows=texts).select("doc_id", "word_no", "k", "class")
 
